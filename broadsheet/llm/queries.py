@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from . import langid, media
+from . import exactdedup, langid, linededup, media, packing, tokencount
 from .shared import read
 
 QUERIES: dict = {
     "op1_media_columns": lambda spark, sf_dir: media.op1(read(spark, sf_dir, "documents")),
     "op2_language_id": lambda spark, sf_dir: langid.op2(read(spark, sf_dir, "documents")),
+    "op3_token_counts": lambda spark, sf_dir: tokencount.op3(read(spark, sf_dir, "documents")),
+    "op4_best_fit_packing": lambda spark, sf_dir: packing.op4(read(spark, sf_dir, "documents")),
+    "op7_exact_dedup": lambda spark, sf_dir: exactdedup.op7(read(spark, sf_dir, "documents")),
+    "op10_line_dedup": lambda spark, sf_dir: linededup.op10(read(spark, sf_dir, "documents")),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_exact_dedup": exactdedup.OP7_SQL,
+    "op10_line_dedup": linededup.OP10_SQL,
+}
