@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exactdedup, langid, linededup, media, packing, tokencount
+from . import exactdedup, langid, linededup, media, mixing, packing, tokencount
 from .shared import read
 
 QUERIES: dict = {
@@ -10,6 +10,7 @@ QUERIES: dict = {
     "op2_language_id": lambda spark, sf_dir: langid.op2(read(spark, sf_dir, "documents")),
     "op3_token_counts": lambda spark, sf_dir: tokencount.op3(read(spark, sf_dir, "documents")),
     "op4_best_fit_packing": lambda spark, sf_dir: packing.op4(read(spark, sf_dir, "documents")),
+    "op5_mix_sources": lambda spark, sf_dir: mixing.op5(read(spark, sf_dir, "documents")),
     "op7_exact_dedup": lambda spark, sf_dir: exactdedup.op7(read(spark, sf_dir, "documents")),
     "op10_line_dedup": lambda spark, sf_dir: linededup.op10(read(spark, sf_dir, "documents")),
 }
