@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exactdedup, langid, linededup, media, mixing, packing, tokencount
+from . import exactdedup, langid, linededup, media, mixing, neardup, packing, tokencount
 from .shared import read
 
 QUERIES: dict = {
@@ -12,10 +12,12 @@ QUERIES: dict = {
     "op4_best_fit_packing": lambda spark, sf_dir: packing.op4(read(spark, sf_dir, "documents")),
     "op5_mix_sources": lambda spark, sf_dir: mixing.op5(read(spark, sf_dir, "documents")),
     "op7_exact_dedup": lambda spark, sf_dir: exactdedup.op7(read(spark, sf_dir, "documents")),
+    "op9_minhash_near_dedup": lambda spark, sf_dir: neardup.op9(read(spark, sf_dir, "documents")),
     "op10_line_dedup": lambda spark, sf_dir: linededup.op10(read(spark, sf_dir, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_exact_dedup": exactdedup.OP7_SQL,
+    "op9_minhash_near_dedup": neardup.OP9_SQL,
     "op10_line_dedup": linededup.OP10_SQL,
 }
