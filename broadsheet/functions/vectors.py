@@ -24,8 +24,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    length = norm(a)
-    return F.when(length < TINY, F.transform(a, lambda x: x.cast("double"))).otherwise(F.transform(a, lambda x: x.cast("double") / length))
+    bound = F.transform(F.array(norm(a)), lambda length: F.transform(a, lambda x: F.when(length < TINY, x.cast("double")).otherwise(x.cast("double") / length)))
+    return F.element_at(bound, 1)
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -36,8 +36,9 @@ def hashed_embedding(text: Column, dimensions: int = 64) -> Column:
     """Unit vector of term counts, each word's place taken from its md5; the offline stand-in for a sentence model."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     places = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % dimensions)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.size(F.filter(places, lambda p: p == i)).cast("double"))
-    return F.transform(unit(counts), lambda x: x.cast("float"))
+    # one-element arrays bind the places and the counts, so that each is computed once a row
+    counts = F.transform(F.array(places), lambda found: F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.size(F.filter(found, lambda p: p == i)).cast("double")))
+    return F.element_at(F.transform(counts, lambda c: F.transform(unit(c), lambda x: x.cast("float"))), 1)
 
 
 def embedding_text(title: Column, summary: Column, most: int | None = 500, joint: str = " ") -> Column:

@@ -40,8 +40,11 @@ def dated(stream: DataFrame, ts: str, arrival: Column) -> DataFrame:
 _CHANGE_OUT = "key string, hash string, previous_hash string, first_seen timestamp, last_seen timestamp, status string"
 
 
-def changes(stream: DataFrame, key: Column, value_hash: Column, ts: str, keep_ms: int = 30 * 86_400_000) -> DataFrame:
-    """Each sighting with its key's previous hash: new, seen_again or changed. State goes keep_ms after the last sighting."""
+def changes(stream: DataFrame, key: Column, value_hash: Column, ts: str, keep_ms: int | None = 30 * 86_400_000) -> DataFrame:
+    """Each sighting with its key's previous hash: new, seen_again or changed. State goes keep_ms after the last sighting.
+
+    Without keep_ms it stays, for replays of bounded data: a time-out keeps an available-now run going.
+    """
 
     def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -53,14 +56,16 @@ def changes(stream: DataFrame, key: Column, value_hash: Column, ts: str, keep_ms
             for row in frame.sort_values(["ts", "hash"]).itertuples():
                 status = "new" if last is None else "seen_again" if last == row.hash else "changed"
                 first = row.ts.to_pydatetime() if first is None else first
-                out.append((group[0], row.hash, last, first, row.ts, status))
+                out.append((group[0], row.hash, last or "", first, row.ts, status))
                 last = row.hash
         state.update((last, first))
-        state.setTimeoutDuration(keep_ms)
+        if keep_ms is not None:
+            state.setTimeoutDuration(keep_ms)
+        # an empty text stands for no earlier hash: columns of nulls only make frames of other types
         yield pd.DataFrame(out, columns=["key", "hash", "previous_hash", "first_seen", "last_seen", "status"])
 
     rows = stream.select(key.alias("key"), value_hash.alias("hash"), F.col(ts).cast("timestamp").alias("ts"))
-    return rows.groupBy("key").applyInPandasWithState(step, _CHANGE_OUT, "hash string, first_seen timestamp", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return rows.groupBy("key").applyInPandasWithState(step, _CHANGE_OUT, "hash string, first_seen timestamp", "append", GroupStateTimeout.NoTimeout if keep_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def failure_streaks(stream: DataFrame, key: str, failed: str, ts: str) -> DataFrame:
