@@ -23,7 +23,7 @@ SOURCE_QUALITY = {
 
 
 def unit_range(x: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    return F.when(x.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))  # greatest and least skip nulls
 
 
 def coverage(n: Column) -> Column:
@@ -46,7 +46,7 @@ def half_life(span_days: Column, importance: Column) -> Column:
 
 def decay(days: Column, life: Column) -> Column:
     """Halves every `life` days from the first article on, never below 0.01; 1 without a date."""
-    return F.coalesce(F.greatest(F.exp(F.lit(-math.log(2)) * days / life), F.lit(0.01)), F.lit(1.0))
+    return F.when(days.isNull(), F.lit(1.0)).otherwise(F.greatest(F.exp(F.lit(-math.log(2)) * days / life), F.lit(0.01)))
 
 
 def llm_part(importance: Column, impact: Column, novelty: Column) -> Column:
