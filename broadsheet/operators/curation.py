@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import texts
+from ..plans.numbering import numbered
 
 REPLY = "event_index int, is_relevant boolean, event_title string, event_summary string, category string, importance double, novelty double, impact double, key_insights array<string>, tags array<string>, top_articles array<int>, evidence_articles array<int>"
 
 
 def batches(rows: DataFrame, order: str, size: int) -> DataFrame:
     """Adds batch_id and event_index: consecutive rows in groups of size."""
-    at = F.row_number().over(Window.orderBy(order)) - 1
-    return rows.withColumn("_at", at).withColumn("batch_id", F.floor(F.col("_at") / size)).withColumn("event_index", (F.col("_at") % size).cast("int")).drop("_at")
+    return numbered(rows, [order], "_at").withColumn("batch_id", F.floor(F.col("_at") / size)).withColumn("event_index", (F.col("_at") % size).cast("int")).drop("_at")
 
 
 def ask(prompts: DataFrame, chat: Callable[[str, str], str], system: str) -> DataFrame:

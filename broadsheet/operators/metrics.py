@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.numbering import numbered
+
 
 def stage_rollup(stages: DataFrame) -> DataFrame:
     """Stages (ord, name, n_in, n_out, elapsed_s) with what each dropped."""
@@ -25,5 +27,4 @@ def compared(baseline: DataFrame, current: DataFrame, key: str, value: str) -> D
 def annotation_template(articles: DataFrame, pos: str = "pos") -> DataFrame:
     """Articles numbered from 1 with empty columns for a reviewer's labels."""
     empty = {"valid": "boolean", "relevant": "boolean", "duplicate_of": "string", "same_event_as": "array<int>", "content_complete": "boolean", "source_trustworthy": "boolean", "notes": "string"}
-    numbered = articles.withColumn("id", F.row_number().over(Window.orderBy(pos)))
-    return numbered.select("id", "url", "title", F.col("source_name").alias("source"), "category", F.col("priority_score").alias("score"), *[F.lit(None).cast(t).alias(n) for n, t in empty.items()])
+    return numbered(articles, [pos], "id", 1).select("id", "url", "title", F.col("source_name").alias("source"), "category", F.col("priority_score").alias("score"), *[F.lit(None).cast(t).alias(n) for n, t in empty.items()])

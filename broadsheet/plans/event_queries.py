@@ -253,7 +253,7 @@ def run_summary(spark, sf_dir):
     return metrics.run_summary(metrics.stage_rollup(stages))
 
 
-@query(f"WITH {ARTICLES_SQL} SELECT CAST(row_number() OVER (ORDER BY pos) AS INTEGER) AS id, url, source_name AS source, priority_score AS score, CAST(NULL AS BOOLEAN) AS valid FROM articles")
+@query(f"WITH {ARTICLES_SQL} SELECT row_number() OVER (ORDER BY pos) AS id, url, source_name AS source, priority_score AS score, CAST(NULL AS BOOLEAN) AS valid FROM articles")
 def annotation_template(spark, sf_dir):
     return metrics.annotation_template(articles(spark, sf_dir)).select("id", "url", "source", "score", "valid")
 

@@ -86,3 +86,15 @@ def test_report_pages(spark, tmp_path):
 def test_aliases(spark):
     rows = spark.createDataFrame([("rss", None)], "type string, connector string")
     assert registry.aliased(rows, {"connector": "type"}).first().asDict() == {"type": "rss", "connector": "rss"}
+
+
+def test_numbers_are_consecutive(spark):
+    from broadsheet.plans.numbering import numbered
+
+    rows = numbered(spark.range(1000).repartition(7), ["id"], "n", 1)
+    assert rows.where("n <> id + 1").count() == 0 and rows.count() == 1000
+
+
+def test_batches_of_prompts(spark):
+    got = curation.batches(spark.range(5), "id", 2).orderBy("id").select("batch_id", "event_index").collect()
+    assert [tuple(r) for r in got] == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0)]
