@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .pretokens import Cache, PreTokens
+from .pretokens import kept
 from .shared import slices, stage
 
 CAPACITY, END_ID, TOKENIZER = 2048, 0, "byte_bpe_50k.json"
@@ -42,8 +43,7 @@ def pieces(docs: DataFrame, keep: dict[str, str], text_col: str = "text", path:
     path, names = path or public_tokenizers.path(TOKENIZER), list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rule = PreTokens(path, "byte")
-        cache = Cache(lambda token: np.array(rule.ids(token), "<u4").tobytes())
+        rule, cache = kept(path, "byte", lambda r, token: array("I", r.piece(token)).tobytes(), "bytes")
         look, end = cache.__getitem__, np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, "text"):
             at, rows = [], []

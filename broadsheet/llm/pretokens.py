@@ -8,6 +8,7 @@ encode(). A pre-token's ids do not depend on its neighbours, so they are looked
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 from collections.abc import Callable
@@ -33,6 +34,13 @@ _RULES = {
 # end of fixed values
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte to the letter that stands for it in byte-level vocabularies: itself if printable, else the next from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class PreTokens:
     """One tokenizer with its split rule; kind is `word` or `byte`."""
 
@@ -41,6 +49,7 @@ class PreTokens:
         self.library.no_padding()
         self.library.no_truncation()
         self.find: Callable[[str], list[str]] = re.compile(_RULES[kind].format(L=_listed("L"), N=_listed("N"), S=_SPACE)).findall
+        self.model, self.letters = self.library.model, _byte_letters()
         self.lower = kind == "word"
         moved = "".join(re.escape(chr(i)) for i in range(_TOP) if len(low := chr(i).lower()) > 1 or ord(low) >= _TOP)
         self.odd = re.compile(f"[^\\x00-{chr(_TOP - 1)}]|[{moved}]").search
@@ -57,22 +66,39 @@ class PreTokens:
             return None
         return self.find(text.lower() if self.lower else text)
 
+    def piece(self, token: str) -> list[int]:
+        """The ids of one pre-token that split() gave, by the library's model alone."""
+        return [x.id for x in self.model.tokenize(token.encode().decode("latin-1").translate(self.letters))]
+
     def ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
 
 class Cache(dict):
-    """Pre-token to value. A worker keeps at most `most` of them and starts anew beyond."""
+    """Pre-token to value, at most `most` of them, some 200 bytes each; the older half goes when it is full."""
 
-    def __init__(self, of: Callable[[str], object], most: int = 300_000, start: dict | None = None) -> None:
+    def __init__(self, of: Callable[[str], object], most: int = 1_000_000, start: dict | None = None) -> None:
         super().__init__(start or {})
-        self.of, self.most, self.start = of, most, start or {}
+        self.of, self.most = of, most
 
     def __missing__(self, token: str) -> object:
-        if len(self) > self.most:
-            self.clear()
-            self.update(self.start)
+        if len(self) >= self.most:
+            for old in list(itertools.islice(self, self.most // 2)):
+                del self[old]
         value = self.of(token)
         if len(token) <= 64:
             self[token] = value
         return value
+
+
+_kept: dict[tuple, tuple[PreTokens, Cache]] = {}
+
+
+def kept(path: str, kind: str, of: Callable[[PreTokens, str], object], name: str) -> tuple[PreTokens, Cache]:
+    """The rule and cache of this worker for a tokenizer and a kind of value; they outlive a task, and only the last is held."""
+    key = (path, kind, name)
+    if key not in _kept:
+        _kept.clear()
+        rule = PreTokens(path, kind)
+        _kept[key] = rule, Cache(lambda token: of(rule, token))
+    return _kept[key]
