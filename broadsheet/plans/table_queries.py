@@ -107,7 +107,9 @@ def two_stage_union(spark, sf_dir):
 # ---- streaming: the table is read as a stream, run to its end, and the result returned as a table ----
 def _drained(stream, mode="append"):
     name = f"s_{uuid.uuid4().hex}"
-    started = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
+    shared = stream.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir")
+    started = (writer.option("checkpointLocation", f"{shared.rstrip('/')}/{name}") if shared else writer).start()
     started.awaitTermination()
     return stream.sparkSession.table(name)
 
