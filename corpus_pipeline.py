@@ -42,7 +42,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents as the target weights of their sources ask."""
     copies = stage(mixing.mix(docs, mixing.word_count(F.col("text"))).where("copies > 0").select("doc_id", "copies"), "copies")
-    return docs.select(*COLUMNS).join(copies, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    # a merge join at every size: copies grow with the documents, so a broadcast would only serve small inputs
+    return docs.select(*COLUMNS).join(copies.hint("merge"), "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
