@@ -1,7 +1,7 @@
 """Near-duplicate groups by b-bit MinHash, every link confirmed on full shingle sets.
 
-1. Each text becomes the set of its distinct 5-word shingles (64-bit hashes), HASHES minima, BANDS band keys and
-   a signature of the minima's low BITS bits, packed into 64-bit words.
+1. Each text becomes the set of its distinct 5-word shingles (64-bit hashes), ROWS minima for each band, a key for
+   each band and a signature of the minima's low BITS bits, packed into 64-bit words.
 2. Texts with equal sets are one class, named by its smallest id; only classes go on.
 3. Classes that share a band key are candidates. Within a band bucket the similarity is estimated by counting equal
    fields of the packed signatures and taking out the 2**-BITS that agree by chance; pairs estimated within
@@ -11,8 +11,9 @@
 
 Buckets and coarse groups of any size are cut into blocks of BLOCK classes and compared block by block, so that no
 task holds more than two blocks, nothing is capped and no pair is written out that a forest does not need.
-A link of similarity 0.85 is missed by the bands with a chance of (1 - 0.85**5)**24, below one in a million, and by
-the estimate with one of about three in a million.
+The threshold is a parameter, and the number of bands follows from it: 24 for 0.85, 35 for 0.8. A link right at the
+threshold is missed by the bands with a chance of (1 - threshold**ROWS)**bands, below one in a million, and by the
+estimate with one of about three in a million.
 
 Nulls: null, empty and blank texts have an empty set, no links and themselves as component. Texts of fewer than
 five words are one shingle, the whole sequence. Repeated rows are in one class; an id that repeats with other texts is one node.
@@ -22,7 +23,9 @@ An empty table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +35,23 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .shared import slices, stage
 
-SHINGLE, BANDS, ROWS, BITS, SEED = 5, 24, 5, 4, 11
-HASHES = BANDS * ROWS
-#: Links need 100 * shared >= PERCENT * united.
+SHINGLE, ROWS, BITS, SEED = 5, 5, 4, 11
+#: Links need 100 * shared >= percent * united; this is op9's.
 PERCENT = 85
+#: The bands may miss a link at the threshold with this chance.
+MISSED = 1e-6
 MARGIN, BLOCK = 4.5, 256
 #: Members of coarse groups up to this many are found in the documents by a broadcast of their ids, 24 bytes each.
 BROADCAST_IDS = 100_000
 
-_WORDS = (HASHES * BITS + 63) // 64
 _FIELDS = np.uint64(int("1" * (64 // BITS), 1 << BITS))
 
 
+def bands_for(percent: int) -> int:
+    """The fewest bands of ROWS minima that miss a link of this similarity with a chance of at most MISSED."""
+    return math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** ROWS))) if percent < 100 else 1
+
+
 # ---- shingles and signatures ---------------------------------------------------------------------
 def _mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64."""
@@ -77,18 +85,20 @@ def shingles(text: bytes, words: Words, size: int = SHINGLE) -> np.ndarray:
 
 
 class Signer:
-    """Minima of HASHES multiplicative permutations of 32-bit shingle hashes."""
+    """Minima of ROWS multiplicative permutations of 32-bit shingle hashes for each band that percent asks."""
 
-    def __init__(self, seed: int = SEED) -> None:
+    def __init__(self, seed: int = SEED, percent: int = PERCENT) -> None:
         rng = np.random.default_rng(seed)
-        self.factor = rng.integers(0, 1 << 31, HASHES, np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
-        self.offset = rng.integers(0, 1 << 32, HASHES, np.uint32)[:, None]
+        self.n_bands = bands_for(percent)
+        self.hashes = self.n_bands * ROWS
+        self.factor = rng.integers(0, 1 << 31, self.hashes, np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
+        self.offset = rng.integers(0, 1 << 32, self.hashes, np.uint32)[:, None]
         self.shift = (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))[None, :]
-        self.salt = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+        self.salt = _mix(np.arange(1, self.n_bands + 1, dtype=np.uint64))
 
     def minima(self, found: np.ndarray, block: int = 4096) -> np.ndarray:
         low = (found >> np.uint64(32)).astype(np.uint32)
-        out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+        out = np.full(self.hashes, 0xFFFFFFFF, np.uint32)
         for start in range(0, len(low), block):
             np.minimum(out, (low[start : start + block] * self.factor + self.offset).min(axis=1), out=out)
         return out
@@ -96,17 +106,18 @@ class Signer:
     def bands(self, minima: np.ndarray) -> np.ndarray:
         """A 64-bit key for each band, the band's number mixed in."""
         total = self.salt.copy()
-        for column in minima.reshape(BANDS, ROWS).T.astype(np.uint64):
+        for column in minima.reshape(self.n_bands, ROWS).T.astype(np.uint64):
             total = _mix(total * np.uint64(0x9E3779B97F4A7C15) + column)
         return total
 
     def packed(self, minima: np.ndarray) -> np.ndarray:
-        fields = np.zeros(_WORDS * (64 // BITS), np.uint64)
-        fields[:HASHES] = minima & np.uint32((1 << BITS) - 1)
-        return np.bitwise_or.reduce(fields.reshape(_WORDS, -1) << self.shift, axis=1)
+        words = (self.hashes * BITS + 63) // 64
+        fields = np.zeros(words * (64 // BITS), np.uint64)
+        fields[: self.hashes] = minima & np.uint32((1 << BITS) - 1)
+        return np.bitwise_or.reduce(fields.reshape(words, -1) << self.shift, axis=1)
 
 
-def estimate(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def estimate(left: np.ndarray, right: np.ndarray, hashes: int = bands_for(PERCENT) * ROWS) -> np.ndarray:
     """Similarity of packed signatures (..., words): equal fields by bit counts, corrected for chance agreement."""
     differ = left ^ right
     step = 1
@@ -115,14 +126,14 @@ def estimate(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         step *= 2
     unequal = np.bitwise_count(differ & _FIELDS).sum(axis=-1, dtype=np.int64)
     chance = 2.0**-BITS
-    return (1 - unequal / HASHES - chance) / (1 - chance)
+    return (1 - unequal / hashes - chance) / (1 - chance)
 
 
-def floor_of(similarity: float, margin: float = MARGIN) -> float:
+def floor_of(similarity: float, hashes: int, margin: float = MARGIN) -> float:
     """The lowest estimate that a pair of this similarity gives but for `margin` standard errors."""
     chance = 2.0**-BITS
     agree = chance + (1 - chance) * similarity
-    return similarity - margin * (agree * (1 - agree) / HASHES) ** 0.5 / (1 - chance)
+    return similarity - margin * (agree * (1 - agree) / hashes) ** 0.5 / (1 - chance)
 
 
 # ---- comparing the rows of a key, block by block -------------------------------------------------
@@ -189,13 +200,13 @@ def blocked(rows: DataFrame, key: str, size: str, payload: str, kernel: Callable
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def similar(signatures: list[np.ndarray]) -> np.ndarray:
-    stacked = np.stack(signatures)
-    least = floor_of(PERCENT / 100)
-    return np.stack([estimate(one, stacked) for one in stacked]) >= least
+def similar(signatures: list[np.ndarray], percent: int) -> np.ndarray:
+    stacked, hashes = np.stack(signatures), bands_for(percent) * ROWS
+    least = floor_of(percent / 100, hashes)
+    return np.stack([estimate(one, stacked, hashes) for one in stacked]) >= least
 
 
-def linked(sets: list[np.ndarray]) -> np.ndarray:
+def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Which pairs of sorted sets reach the threshold, exactly."""
     sizes = np.array([len(s) for s in sets], np.int64)
     n = len(sets)
@@ -215,7 +226,7 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
             table[owner[inside], place[inside] - start] = 1
             shared += np.rint(table @ table.T).astype(np.int64)
     united = sizes[:, None] + sizes[None, :] - shared
-    out = 100 * shared >= PERCENT * united
+    out = 100 * shared >= percent * united
     np.fill_diagonal(out, False)
     return out
 
@@ -225,11 +236,11 @@ def _text(docs: DataFrame, text_col: str) -> Column:
     return F.coalesce(F.col(text_col), F.lit(""))
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, same, signature, bands): same is a 128-bit digest of the set, null for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, signer = Words(), Signer()
+        words, signer = Words(), Signer(percent=percent)
         for batch in slices(batches, "text"):
             counts, same, packed, bands = [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
@@ -259,9 +270,9 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("key", "size", "id", "text").mapInArrow(run, "key long, size long, id long, shingles binary")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) for every row."""
-    signed = stage(signatures(docs, id_col, text_col), "signatures")
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id) for every row; texts whose sets reach percent are linked."""
+    signed = stage(signatures(docs, id_col, text_col, percent), "signatures")
     classes = stage(signed.where("same IS NOT NULL").groupBy("same").agg(F.min("id").alias("rep")), "classes")
     named = signed.select("id", "n_shingles", "same").join(classes, "same", "left")
     firsts = classes.select(F.col("rep").alias("id"), F.col("same").alias("same_"))
@@ -271,7 +282,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = reps.select("id", F.explode("bands").alias("key"))
     buckets = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     crowded = stage(keyed.join(buckets, "key"), "crowded").join(reps.select("id", "signature"), "id")
-    coarse = stage(blocked(crowded, "key", "size", "signature", similar), "coarse")
+    coarse = stage(blocked(crowded, "key", "size", "signature", partial(similar, percent=percent)), "coarse")
 
     groups = connected_components(coarse)
     sizes = stage(groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "sizes")
@@ -279,7 +290,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     few = members.count() <= BROADCAST_IDS
     texts = docs.select(F.col(id_col).cast("long").alias("id"), _text(docs, text_col).alias("text"))
     wanted = texts.join(F.broadcast(members) if few else members, texts.id == members.member).drop("member")
-    links = stage(blocked(shingle_sets(wanted), "key", "size", "shingles", linked), "links")
+    links = stage(blocked(shingle_sets(wanted), "key", "size", "shingles", partial(linked, percent=percent)), "links")
 
     components = connected_components(links)
     named = stage(named, "named")

@@ -15,6 +15,8 @@ from broadsheet.llm import langid, linededup, mixing, neardup, packing
 from broadsheet.llm.shared import read, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Documents are near copies from this Jaccard similarity on, in percent.
+NEAR = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +36,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies, the one with the smallest id."""
-    groups = stage(neardup.near_duplicates(docs).where("doc_id <> component_id").select("doc_id"), "near-copies")
+    """Keeps one document of each group of near copies (Jaccard similarity of NEAR percent or more), the one with the smallest id."""
+    groups = stage(neardup.near_duplicates(docs, percent=NEAR).where("doc_id <> component_id").select("doc_id"), "near-copies")
     return docs.select(*COLUMNS).join(groups, "doc_id", "left_anti").select(*COLUMNS)
 
 

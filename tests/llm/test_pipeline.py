@@ -42,3 +42,15 @@ def test_run_takes_the_words_that_the_targets_ask(spark):
     assert found.groupby("sequence_id").length.sum().max() <= 2048
     assert len(found) > 100
     assert re.match(WORDS, "a")
+
+
+def test_near_copies_from_four_fifths_on_go(spark):
+    words = [f"v{i}" for i in range(104)]
+    texts = {}
+    for i, (at, n) in {0: (0, 0), 1: (10, 6), 2: (40, 8)}.items():  # 100 shingles; n replaced words in a row change n + 4 of them
+        texts[i] = " ".join([*words[:at], *(f"n{i}x{j}" for j in range(n)), *words[at + n :]])
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(100)} for i, t in texts.items()}
+    alike = {i: len(sets[0] & sets[i]) / len(sets[0] | sets[i]) for i in (1, 2)}
+    assert 0.8 <= alike[1] < 0.85 and alike[2] < 0.8
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts.items()], DOCS)
+    assert sorted(r.doc_id for r in cp.drop_near_duplicates(spark, docs, "").collect()) == [0, 2]
