@@ -26,6 +26,8 @@ DIMENSIONS, NGRAM, SEED = 1024, 3, 20
 #: More learned languages than this raise an error; prototypes are sent to every task, DIMENSIONS doubles each.
 MOST_LANGUAGES = 1024
 UNDETERMINED = "und"
+#: Scores below this are no sign of a language: 3.2 standard errors of the cosine of unrelated vectors.
+FLOOR = 3.2 / DIMENSIONS**0.5
 #: Trigram vectors that a worker keeps, one byte a dimension.
 _KEPT = 1 << 15
 

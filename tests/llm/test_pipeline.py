@@ -1,5 +1,7 @@
 """The pipeline on a small corpus, stage by stage, against plain versions."""
 
+import base64
+import random
 import re
 from collections import Counter
 
@@ -54,3 +56,17 @@ def test_near_copies_from_four_fifths_on_go(spark):
     assert 0.8 <= alike[1] < 0.85 and alike[2] < 0.8
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts.items()], DOCS)
     assert sorted(r.doc_id for r in cp.drop_near_duplicates(spark, docs, "").collect()) == [0, 2]
+
+
+def test_lettered_junk_and_unlearned_languages_go(spark):
+    rng = random.Random(1)
+    junk = [
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) for _ in range(60)), base64.b64encode(rng.randbytes(900)).decode(), " ".join(f"{rng.getrandbits(256):064x}" for _ in range(9)),
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+    ]
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*cp.COLUMNS)
+    added = spark.createDataFrame([(-1 - i, t, None, "a", len(t)) for i, t in enumerate(junk)], DOCS)
+    kept = [r.doc_id for r in cp.identify_language(spark, given.unionByName(added), "").select("doc_id").collect()]
+    assert not [i for i in kept if i < 0]
+    assert len(kept) > 0.99 * given.count()
