@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -100,22 +101,22 @@ def similar_pairs(vectors: DataFrame, threshold: float, id_col: str = "vec_id",
     return dealt.groupBy("i", "j").applyInPandas(product, "a long, b long, similarity double")
 
 
-def greedy_kept(ids: DataFrame, pairs: DataFrame, id_col: str = "id", most_rounds: int = 1000) -> DataFrame:
+def greedy_kept(ids: DataFrame, pairs: DataFrame, id_col: str = "id") -> DataFrame:
     """Ids kept when rows are taken in order and one that is similar to an earlier kept row is dropped.
 
     Rounds over the edges: a row with no undecided or kept earlier neighbour is kept, one with a kept earlier
-    neighbour is dropped. Ids without an edge never enter a round.
+    neighbour is dropped, until none is undecided. Ids without an edge never enter a round.
     """
     edges = cut(pairs.select("a", "b"))
     linked = edges.select(F.col("a").alias(id_col)).union(edges.select(F.col("b").alias(id_col))).distinct()
     free = ids.select(id_col).join(linked, id_col, "left_anti")
     open_, kept = cut(linked), []
-    for _ in range(most_rounds):
-        if open_.isEmpty():
-            break
+    while not open_.isEmpty():  # each round settles the first open row at least
         inner = edges.join(open_.select(F.col(id_col).alias("b")), "b", "left_semi")
         now = cut(open_.join(inner.select(F.col("b").alias(id_col)), id_col, "left_anti"))
         kept.append(now)
+        if len(kept) == 50:  # one table, so that the plan of the union stays small
+            kept = [cut(reduce(DataFrame.unionByName, kept))]
         dropped = edges.join(now.select(F.col(id_col).alias("a")), "a", "left_semi").select(F.col("b").alias(id_col))
         open_ = cut(open_.join(now, id_col, "left_anti").join(dropped, id_col, "left_anti"))
         edges = cut(edges.join(open_.select(F.col(id_col).alias("a")), "a", "left_semi").join(open_.select(F.col(id_col).alias("b")), "b", "left_semi"))

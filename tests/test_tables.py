@@ -48,6 +48,14 @@ def test_greedy_is_not_components(spark):
     assert dedup.similar_pairs(vectors, 0.75, block=1).count() == 2
 
 
+def test_greedy_settles_every_row_of_a_chain(spark, monkeypatch):
+    # one round settles two links; a bound on the rounds, were there one, is two here
+    monkeypatch.setattr(dedup, "range", lambda n: range(min(n, 2)), raising=False)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(10)], "a long, b long")
+    kept = dedup.greedy_kept(spark.range(11), chain)
+    assert listed(kept) == [(i,) for i in range(0, 11, 2)]
+
+
 def test_linkage_prefers_first_on_ties():
     m = np.array([[1.0, 0.0], [0.0, 1.0], [0.7071, 0.7071]])
     assert clustering.linkage_labels(m, 0.5).tolist() == [0, 1, 0]
