@@ -74,7 +74,7 @@ def _reduced(pieces: str, seed: int) -> str:
     step = f"""
       if(acc.rest IS NULL, named_struct('rest', e, 'done', acc.done),
         transform(array({pair}), q -> named_struct(
-          'rest', filter(q, x -> NOT (x.p <= {_EPS}D OR x.p >= 1D - {_EPS}D))[0],
+          'rest', get(filter(q, x -> NOT (x.p <= {_EPS}D OR x.p >= 1D - {_EPS}D)), 0),
           'done', concat(acc.done, transform(filter(q, {whole}), {settle}))))[0])"""
     ordered = f"array_sort({pieces}, (l, r) -> CASE WHEN l.size > r.size THEN -1 WHEN l.size < r.size THEN 1 WHEN l.id < r.id THEN -1 WHEN l.id > r.id THEN 1 ELSE 0 END)"
     return f"aggregate({ordered}, {start}, (acc, e) -> {step})"

@@ -37,17 +37,30 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return cut.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with a _key of its own for each row: doc_id, or where ids are null or repeat, the row's place in their order, nulls last."""
+    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("doc_id IS NULL OR n > 1").isEmpty():
+        return docs.select(*COLUMNS, F.col("doc_id").cast("long").alias("_key"))
+    ordered = docs.select(*COLUMNS).orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text", "source"))
+    return stage(ordered.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (Jaccard similarity of NEAR percent or more), the one with the smallest id."""
-    groups = stage(neardup.near_duplicates(docs, percent=NEAR).where("doc_id <> component_id").select("doc_id"), "near-copies")
-    return docs.select(*COLUMNS).join(groups, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps one document of each group of near copies (Jaccard similarity of NEAR percent or more), the one with the smallest id.
+
+    Rows with a null id count as documents of their own, which come last; rows that repeat an id are compared like others.
+    """
+    rows = keyed(docs)
+    groups = stage(neardup.near_duplicates(rows, "_key", percent=NEAR).where("_key <> component_id").select("_key"), "near-copies")
+    return rows.join(groups, "_key", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents as the target weights of their sources ask."""
-    copies = stage(mixing.mix(docs, mixing.word_count(F.col("text"))).where("copies > 0").select("doc_id", "copies"), "copies")
+    """Repeats or leaves out documents as the target weights of their sources ask; rows with a null or repeated id take copies of their own."""
+    rows = keyed(docs)
+    copies = stage(mixing.mix(rows, mixing.word_count(F.col("text")), "_key").where("copies > 0").select("_key", "copies"), "copies")
     # a merge join at every size: copies grow with the documents, so a broadcast would only serve small inputs
-    return docs.select(*COLUMNS).join(copies.hint("merge"), "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    return rows.join(copies.hint("merge"), "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,3 +70,15 @@ def test_lettered_junk_and_unlearned_languages_go(spark):
     kept = [r.doc_id for r in cp.identify_language(spark, given.unionByName(added), "").select("doc_id").collect()]
     assert not [i for i in kept if i < 0]
     assert len(kept) > 0.99 * given.count()
+
+
+def test_null_and_repeated_ids_are_whole_rows(spark):
+    other = " ".join(f"unlike{i}" for i in range(60))
+    given = [(1, BODY, "en", "a", 0), (1, BODY, "en", "a", 0), (2, BODY, "en", "a", 0), (2, other, "en", "a", 0), (None, BODY, "en", "a", 0), (None, "of its own", "en", "a", 0)]
+    near = sorted((r.doc_id or 9, r.text) for r in cp.drop_near_duplicates(spark, spark.createDataFrame(given, DOCS), "").collect())
+    assert near == sorted([(1, BODY), (2, other), (9, "of its own")])
+    # one source: its target is 1.5 times its words, two copies a row at most
+    alike = [(5, BODY, "en", "a", 0)] * 2 + [(None, f"{BODY} {i}", "en", "a", 0) for i in range(6)]
+    got = Counter((r.doc_id, r.text) for r in cp.mix_sources(spark, spark.createDataFrame(alike, DOCS), "").collect())
+    assert got[5, BODY] <= 4 and all(got[None, f"{BODY} {i}"] in (1, 2) for i in range(6))
+    assert 11 <= sum(got.values()) <= 13
