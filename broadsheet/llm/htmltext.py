@@ -8,7 +8,8 @@ summed over windows of WINDOW lines. A surge is a window whose sum rises to a sh
 line length (weighted by characters) and stays; the dive is the first window after it that holds no text at
 all. Of the stretches between surge and dive the one with the most text is the article, and those within
 the same named main element (article, main) belong to it. Where a page names a main element, the stretch
-is sought within it first.
+is sought within it first. Where it names none, the element that holds most of the stretch's text is the article's
+container; other stretches with text in it, and the lines of it between them, belong to the article, too.
 
 Nulls: null or empty html gives an empty text. Unclosed and stray tags end with the element around them;
 an unfinished tag at the end of the page is no text. Whole pages are read, whatever their length.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,7 @@ SURGE = 0.2
 # fixed values: element names of HTML, and words by which page parts name themselves
 _BLOCKS = frozenset("address article aside blockquote body br caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td template textarea tfoot th thead title tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_INNER = frozenset("address blockquote br caption center dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr legend li ol p pre section summary table tbody tfoot thead tr ul".split())
 _RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
 _DROPPED = frozenset("script style textarea title noscript iframe noembed noframes xmp head template form button select option optgroup datalist input label svg math canvas object embed audio video map dialog".split())
 _MARGINAL = frozenset("nav header footer aside menu".split())
@@ -72,20 +75,35 @@ def _marginal(name: str, attributes: str) -> bool:
 class Line:
     """One block's text: its parts, characters within links, and where it stands."""
 
-    __slots__ = ("linked", "main", "marginal", "parts")
+    __slots__ = ("homes", "linked", "main", "marginal", "parts")
 
-    def __init__(self, marginal: bool, main: int) -> None:
+    def __init__(self, marginal: bool, main: int, homes: tuple[int, ...]) -> None:
         self.parts: list[str] = []
         self.linked = 0
-        self.marginal, self.main = marginal, main
+        self.marginal, self.main, self.homes = marginal, main, homes
 
 
-def lines(page: str) -> list[tuple[str, int, bool, int]]:
-    """(text, characters outside links, marginal, number of the main element or 0) of every block with text."""
+def lines(page: str) -> list[tuple[str, int, bool, int, tuple[int, ...]]]:
+    """(text, characters outside links, marginal, number of the main element or 0, containers) of every block with text.
+
+    A container is a block that may hold paragraphs, by its number in the page, 0 for the page. Text that stands in one
+    without a paragraph has two: that one, which may be a paragraph itself, and the next around it.
+    """
     out: list[Line] = []
-    open_: list[tuple[str, bool, bool, int]] = []  # name, dropped, marginal, main
+    open_: list[tuple[str, bool, bool, int, int]] = []  # name, dropped, marginal, main, number
     line: Line | None = None
-    mains = links = at = 0
+    mains = links = at = elements = 0
+
+    def homes() -> tuple[int, ...]:
+        direct, found = True, []
+        for name, *_, number in reversed(open_):
+            if name in _BLOCKS and name not in _INNER:
+                found.append(number)
+                if len(found) == 1 + direct:
+                    return tuple(found)
+            elif name in _BLOCKS and not found:
+                direct = False
+        return (*found, 0)
 
     def put(text: str) -> None:
         nonlocal line
@@ -93,7 +111,7 @@ def lines(page: str) -> list[tuple[str, int, bool, int]]:
             return
         marginal, main = (open_[-1][2], open_[-1][3]) if open_ else (False, 0)
         if line is None or line.marginal != marginal or line.main != main:
-            line = Line(marginal, main)
+            line = Line(marginal, main, homes())
             out.append(line)
         line.parts.append(text)
         if links:
@@ -139,7 +157,7 @@ def lines(page: str) -> list[tuple[str, int, bool, int]]:
                     break
         if name in _VOID or token[3].endswith("/") and name not in _BLOCKS:
             continue
-        _, dropped, marginal, main = open_[-1] if open_ else ("", False, False, 0)
+        _, dropped, marginal, main, _ = open_[-1] if open_ else ("", False, False, 0, 0)
         own = _marginal(name, token[3])
         inside = name in _MAIN and not main and not marginal
         if inside:
@@ -147,7 +165,7 @@ def lines(page: str) -> list[tuple[str, int, bool, int]]:
         # a header within the main element holds its title
         if own and main and name == "header" and not _NAMED.search(token[3]):
             own = False
-        open_.append((name, dropped or name in _DROPPED, marginal or own, mains if inside else main))
+        open_.append((name, dropped or name in _DROPPED, marginal or own, mains if inside else main, elements := elements + 1))
         links += name == "a"
         if name in _RAW:
             closing = re.compile(f"</{re.escape(name)}\\b", re.I).search(page, at)
@@ -159,7 +177,7 @@ def lines(page: str) -> list[tuple[str, int, bool, int]]:
         text = _WHITE.sub(" ", html.unescape("".join(x.parts))).strip()
         if text:
             plain = len(text) * (1 - x.linked / max(1, sum(map(len, x.parts))))
-            found.append((text, round(plain), x.marginal, x.main))
+            found.append((text, round(plain), x.marginal, x.main, x.homes))
     return found
 
 
@@ -191,16 +209,27 @@ def main_text(page: str | None) -> str:
     """The article's blocks in page order, joined by a line break; empty if there is none."""
     found = lines(page or "")
     body = [x for x in found if x[3] and not x[2]]
-    rows = [x if not body or x[3] else (x[0], 0, True, 0) for x in found]
+    rows = [x if not body or x[3] else (x[0], 0, True, 0, ()) for x in found]
     if not rows:
         return ""
-    weights = np.array([0 if marginal else plain for _, plain, marginal, _ in rows], np.int64)
+    weights = np.array([0 if marginal else plain for _, plain, marginal, _, _ in rows], np.int64)
     runs = stretches(weights)
     if not runs:
         return ""
     first, end = max(runs, key=lambda r: int(weights[r[0] : r[1]].sum()))
     top = {rows[i][3] for i in range(first, end)} - {0}
-    picked = [i for i, row in enumerate(rows) if not row[2] and (first <= i < end or row[3] in top)]
+    inside = set(range(first, end))
+    if not body:
+        held: Counter[int] = Counter()
+        for i in inside:
+            for home in rows[i][4]:
+                held[home] += int(weights[i])
+        home = max(held, key=lambda x: (held[x], x))  # of two that hold the same, the inner one
+        same = [r for r in runs if any(weights[i] and home in rows[i][4] for i in range(*r))]
+        for r in same:
+            inside.update(range(*r))
+        inside.update(i for i in range(same[0][0], same[-1][1]) if weights[i] and home in rows[i][4])
+    picked = [i for i, row in enumerate(rows) if not row[2] and (i in inside or row[3] in top)]
     return "\n".join(rows[i][0] for i in picked)
 
 

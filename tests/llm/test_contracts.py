@@ -215,6 +215,14 @@ def test_main_text(page, want):
     assert htmltext.main_text(page) == want
 
 
+@pytest.mark.parametrize("insert", ["<div class='ad'><p>one</p><p>two</p><p>three</p></div>", "<ul>" + "<li><a href='x'>read on</a></li>" * 3 + "</ul>"])
+@pytest.mark.parametrize("form", ["<p>{}</p>", "<div>{}</div>", "<section><p>{}</p></section>", "{}<br>"])
+def test_inserts_do_not_end_the_article(insert, form):
+    first, second = form.format(P) * 3, form.format(P + " b") * 2 + form.format("Short.") + insert + form.format(P + " c")
+    page = f"<body><div><p>{P} t</p></div>{insert}<div id=text>{first}{insert}{second}</div>{insert}<div><p>{P} u</p></div></body>"
+    assert htmltext.main_text(page) == "\n".join([P] * 3 + [P + " b"] * 2 + ["Short.", P + " c"])
+
+
 def test_pages_against_their_articles(spark):
     import html
 
