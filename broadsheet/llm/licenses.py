@@ -1,7 +1,9 @@
 """Licence scans by sentence rules: sentences become identifiers, identifier sequences become licences.
 
 A text is cut into sentences at line breaks and after . ! ? ; or : before white space. Each is lower-cased
-(A-Z), everything but a-z and 0-9 becomes one space, and the rest is looked up among the known sentences.
+(A-Z), everything but a-z and 0-9 becomes one space, and the rest is looked up among the known sentences. A known
+sentence is also found where it is wrapped over lines that follow each other without a blank one, or goes on after `v.`;
+a line that is known by itself comes first. n_sentences counts lines as sentences all the same.
 The identifiers found, in order and without the unknown sentences between them, form the document's sequence;
 a rule names a licence and the identifiers that must follow each other in it. DataFrame functions only: the
 tables are literals of the plan, far below any limit.
@@ -71,24 +73,35 @@ RULES = [
 # end of fixed values
 
 _CUT = r"[.!?;:]+[ \t\n\x0B\f\r]+|\n"
+_SPACE = r"[ \t\n\x0B\f\r]"
+#: Marks in normalised texts: a sentence ends for certain, or may go on (\n).
+_END = "\x01"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def sentences(text: Column) -> Column:
-    """Every sentence, normalised, in order; empty ones stay."""
-    cut = F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _CUT, -1)
-    return F.transform(cut, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
+def n_sentences(text: Column) -> Column:
+    return F.size(F.split(F.coalesce(text, F.lit("")), _CUT, -1)).cast("long")
 
 
-def _ids(found: Column, known: dict[str, str]) -> Column:
-    pairs = [x for k, v in known.items() for x in (F.lit(v), F.lit(k))]
-    table = F.create_map(*pairs)
-    return F.filter(F.transform(found, lambda s: F.try_element_at(table, s)), lambda x: x.isNotNull())
+def _marked(text: Column) -> Column:
+    """The text normalised, with _END at ends of sentences and a line break where lines end or `v.` does."""
+    lower = F.translate(F.coalesce(text, F.lit("")), _UPPER + _END, _LOWER + " ")
+    soft = F.regexp_replace(lower, r"(?<![a-z0-9])v\.(?:[ \t\x0B\f\r]*\n|[ \t\x0B\f\r]+)", "v\n")
+    cut = F.regexp_replace(soft, rf"[.!?;:]+{_SPACE}+", _END)
+    return F.regexp_replace(F.regexp_replace(cut, rf"[^a-z0-9\n{_END}]+", " "), rf" ?([\n{_END}]) ?", "$1")
+
+
+def _ids(text: Column, known: dict[str, str]) -> Column:
+    table = F.create_map(*[x for k, v in known.items() for x in (F.lit(v), F.lit(k))])
+    longest = sorted(known.values(), key=len, reverse=True)
+    either = "|".join([*longest, *(v.replace(" ", r"[ \n]") for v in longest)])
+    found = F.regexp_extract_all(F.trim(_marked(text)), F.lit(rf"(?<![^\n{_END}])(?:{either})(?![^\n{_END}])"), F.lit(0))
+    return F.transform(found, lambda s: F.element_at(table, F.translate(s, "\n", " ")))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str] = SENTENCES, rules: list[tuple[str, tuple[str, ...]]] = RULES) -> DataFrame:
     """(id, n_sentences, sentence_ids, licenses): the identifiers joined by > and the licences joined by a comma, both in order."""
-    base = docs.select(F.col(id_col), sentences(F.col(text_col)).alias("found")).select(id_col, F.size("found").cast("long").alias("n_sentences"), _ids(F.col("found"), known).alias("ids"))
+    base = docs.select(F.col(id_col), n_sentences(F.col(text_col)).alias("n_sentences"), _ids(F.col(text_col), known).alias("ids"))
     sequence = F.concat(F.lit(">"), F.array_join("ids", ">"), F.lit(">"))
     named = F.array(*[F.when(F.contains("sequence", F.lit(f">{'>'.join(ids)}>")), F.lit(name)) for name, ids in rules])
     licences = F.array_join(F.array_distinct(F.array_compact(named)), ",")

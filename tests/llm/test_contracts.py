@@ -252,6 +252,21 @@ def test_edge_rows_equal_the_sql(spark, docs, empty, op, name):
     assert op(empty).count() == 0
 
 
+def test_wrapped_licences(spark):
+    import textwrap
+
+    s = licenses.SENTENCES
+    wrap = lambda *ids, width=72, lead="": "\n\n".join(textwrap.fill(s[i].replace(" v 2 0", " v. 2.0") + ".", width, initial_indent=lead, subsequent_indent=lead) for i in ids)
+    gpl = textwrap.fill(f"{s['gpl-free-lead']}: {s['gpl3-terms']}.", 75)
+    want = {
+        wrap("mit-grant", "mit-notice", "as-is"): "MIT", wrap("mit-grant", "mit-notice", "as-is", lead=" * "): "MIT", "Copyright (c) A\n" + wrap("bsd-redis", "bsd-source", "bsd-binary"): "BSD-2-Clause",
+        wrap("bsd-redis", "bsd-source", "bsd-binary", "bsd-endorse", width=80): "BSD-3-Clause,BSD-2-Clause", gpl: "GPL-3.0-or-later", gpl.replace("\n", "\r\n"): "GPL-3.0-or-later",
+        wrap("mpl2"): "MPL-2.0", wrap("mpl2", width=999): "MPL-2.0", "released under\n\nthe mit license": "", "released under. the mit license": "", "see v. released under the mit license": "MIT",
+    }
+    got = licenses.op8(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")).collect()
+    assert [r.licenses for r in sorted(got)] == list(want.values())
+
+
 def test_near_duplicates_in_blocks(spark, monkeypatch):
     rng = random.Random(7)
     base = [f"w{i}" for i in range(80)]
