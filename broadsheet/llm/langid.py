@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices
+from .shared import held, slices
 
 DIMENSIONS, NGRAM, SEED = 1024, 3, 20
 #: More learned languages than this raise an error; prototypes are sent to every task, DIMENSIONS doubles each.
@@ -28,19 +28,19 @@ MOST_LANGUAGES = 1024
 UNDETERMINED = "und"
 #: Scores below this are no sign of a language: 3.2 standard errors of the cosine of unrelated vectors.
 FLOOR = 3.2 / DIMENSIONS**0.5
-#: Trigram vectors that a worker keeps, one byte a dimension.
+#: Trigram vectors that a worker keeps in one table, one byte a dimension; a full table is begun anew.
 _KEPT = 1 << 15
 
 
 class Encoder:
-    """Turns texts into trigram counts, and trigrams into vectors. One lives in each worker."""
+    """Turns texts into trigram counts, and trigrams into vectors. A worker keeps one across its tasks."""
 
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED) -> None:
         self.dimensions, self.seed = dimensions, seed
         self.letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
         self.letters: dict[int, np.ndarray] = {}
-        self.keys = np.empty(0, np.uint64)
-        self.vectors = np.empty((0, dimensions), np.int8)
+        self.keys, self.places = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.vectors = np.empty((_KEPT, dimensions), np.int8)
 
     def trigrams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, trigram key, count), ordered by document; documents without a letter have none."""
@@ -68,26 +68,28 @@ class Encoder:
             self.letters[code] = np.random.default_rng([self.seed, code]).integers(0, 2, self.dimensions, np.int8) * np.int8(2) - np.int8(1)
         return self.letters[code]
 
+    def _made(self, key: int) -> np.ndarray:
+        mask = (1 << 21) - 1
+        return np.roll(self._of_letter(key >> 42), 2) * np.roll(self._of_letter(key >> 21 & mask), 1) * self._of_letter(key & mask)
+
     def of(self, keys: np.ndarray) -> np.ndarray:
-        """The vectors of distinct, sorted trigram keys."""
+        """The vectors of at most _KEPT distinct, sorted trigram keys."""
         at = np.searchsorted(self.keys, keys)
         known = at < len(self.keys)
         known[known] = self.keys[at[known]] == keys[known]
         if not known.all():
             fresh = keys[~known]
-            mask = (1 << 21) - 1
-            made = np.empty((len(fresh), self.dimensions), np.int8)
-            for i, key in enumerate(map(int, fresh)):
-                first, second, third = key >> 42, key >> 21 & mask, key & mask
-                made[i] = np.roll(self._of_letter(first), 2) * np.roll(self._of_letter(second), 1) * self._of_letter(third)
-            if len(self.keys) > _KEPT:
-                self.keys, self.vectors = np.empty(0, np.uint64), np.empty((0, self.dimensions), np.int8)
-                return self.of(keys)
+            if len(self.keys) + len(fresh) > _KEPT:
+                self.keys, self.places = np.empty(0, np.uint64), np.empty(0, np.int64)
+                fresh = keys
+            free = np.arange(len(self.keys), len(self.keys) + len(fresh))
+            for place, key in zip(free, map(int, fresh), strict=True):
+                self.vectors[place] = self._made(key)
             merged = np.concatenate([self.keys, fresh])
             order = np.argsort(merged)
-            self.keys, self.vectors = merged[order], np.concatenate([self.vectors, made])[order]
+            self.keys, self.places = merged[order], np.concatenate([self.places, free])[order]
             at = np.searchsorted(self.keys, keys)
-        return self.vectors[at]
+        return self.vectors[self.places[at]]
 
     def bundle(self, owners: np.ndarray, keys: np.ndarray, counts: np.ndarray, rows: int, block: int = 4096) -> np.ndarray:
         """Sums of counts times vectors for each of rows owners; whole numbers, exact in the type chosen."""
@@ -111,7 +113,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(dimensions, seed)
+        encoder = held(("profiles", dimensions, seed), lambda: Encoder(dimensions, seed))
         sums: dict[str, np.ndarray] = {}
         for batch in slices(batches, "text", 1 << 20, 256):
             langs = np.array(batch.column("lang").to_pylist(), object)
@@ -148,7 +150,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: dict[str,
     profiles = unit(profiles - np.outer(profiles @ shared, shared))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(dimensions, seed)
+        encoder = held(("profiles", dimensions, seed), lambda: Encoder(dimensions, seed))
         for batch in slices(batches, "text", 1 << 20, 256):
             texts = [x or "" for x in batch.column("text").to_pylist()]
             owners, keys, counts = encoder.trigrams(texts)

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import itertools
 import re
+import sys
 import unicodedata
 from collections.abc import Callable
 
 from tokenizers import Tokenizer
 
+from .shared import held
+
 _TOP = 0x250
 
 
@@ -75,30 +78,34 @@ class PreTokens:
 
 
 class Cache(dict):
-    """Pre-token to value, at most `most` of them, some 200 bytes each; the older half goes when it is full."""
+    """Pre-token to value within most_bytes, besides the entries it starts with; the older half goes when it is full."""
+
+    #: What an entry takes besides its key and value, and the longest key that is kept.
+    ENTRY, LONGEST = 100, 64
 
-    def __init__(self, of: Callable[[str], object], most: int = 1_000_000, start: dict | None = None) -> None:
+    def __init__(self, of: Callable[[str], object], most_bytes: int = 40 << 20, start: dict | None = None) -> None:
         super().__init__(start or {})
-        self.of, self.most = of, most
+        self.of, self.most_bytes, self.bytes, self.first = of, most_bytes, 0, len(self)
+
+    def _size(self, token: str, value: object) -> int:
+        return self.ENTRY + sys.getsizeof(token) + sys.getsizeof(value)
 
     def __missing__(self, token: str) -> object:
-        if len(self) >= self.most:
-            for old in list(itertools.islice(self, self.most // 2)):
-                del self[old]
         value = self.of(token)
-        if len(token) <= 64:
+        if len(token) <= self.LONGEST:
+            if self.bytes >= self.most_bytes:
+                for old in list(itertools.islice(self, self.first, self.first + (len(self) - self.first + 1) // 2)):
+                    self.bytes -= self._size(old, self.pop(old))
             self[token] = value
+            self.bytes += self._size(token, value)
         return value
 
 
-_kept: dict[tuple, tuple[PreTokens, Cache]] = {}
+def kept(path: str, kind: str, of: Callable[[PreTokens, str], object], name: str, start: dict | None = None) -> tuple[PreTokens, Cache]:
+    """The rule and cache of this worker for a tokenizer and a kind of value; they outlive a task, until another operator holds something."""
 
-
-def kept(path: str, kind: str, of: Callable[[PreTokens, str], object], name: str) -> tuple[PreTokens, Cache]:
-    """The rule and cache of this worker for a tokenizer and a kind of value; they outlive a task, and only the last is held."""
-    key = (path, kind, name)
-    if key not in _kept:
-        _kept.clear()
+    def make() -> tuple[PreTokens, Cache]:
         rule = PreTokens(path, kind)
-        _kept[key] = rule, Cache(lambda token: of(rule, token))
-    return _kept[key]
+        return rule, Cache(lambda token: of(rule, token), start=start)
+
+    return held(("pre-tokens", path, kind, name), make)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,16 +20,24 @@ _own_folder: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; one of our own only where that is unset."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by spark.checkpoint.dir; one of our own only where that is unset and all run on this machine."""
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    app = spark.sparkContext.applicationId
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    app = context.applicationId
     if app not in _own_folder:
         _own_folder[app] = "file://" + tempfile.mkdtemp(prefix="broadsheet-")
     return _own_folder[app]
 
 
+def folder(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, among those that release() deletes."""
+    return f"{scratch_root(spark)}/broadsheet/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Writes df to a table in the shared folder and reads it back.
 
@@ -36,17 +45,31 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     and later joins see file statistics, so that AQE can split skewed partitions.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/broadsheet/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def release(spark: SparkSession) -> None:
     """Deletes every table this application staged. Call it once no result is read any more."""
-    with contextlib.suppress(Exception):
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/broadsheet/{spark.sparkContext.applicationId}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, f"{scratch_root(spark)}/broadsheet/{spark.sparkContext.applicationId}")
+
+
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """What an operator keeps in a Python worker across its tasks. A worker holds one such thing: another key drops the last."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20, most_rows: int = 512) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,7 @@
 First, every task counts the pre-tokens of its own texts in a bounded heavy-hitter summary; the summaries,
 at most SUMMARY entries each, are added up, and the FREQUENT most frequent pre-tokens are encoded
 once and sent to all tasks as a compact table of lengths. Then every text's pre-tokens are looked up there;
-what is missing is encoded by the worker and kept in its cache. Counts are the library's in every case: the
+what is missing is encoded by the worker and kept in its cache, which is bounded in bytes and outlives a task. Counts are the library's in every case: the
 table and the caches only save work.
 
 Nulls: a null text is empty and has 0 tokens. Long texts are read whole. Repeated rows are each counted.
@@ -12,15 +12,16 @@ Ties among frequent pre-tokens go by the token itself. Other columns are ignored
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pretokens import Cache, PreTokens
+from .pretokens import PreTokens, kept
 from .shared import slices
 
 #: Entries of a task's summary, and of the table sent to all tasks: at most 64 bytes each.
@@ -41,7 +42,7 @@ def frequent(docs: DataFrame, text_col: str = "text", path: str = "", kind: str
     """The pre-tokens that all texts have most often, by the tasks' summaries; ties by code point."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rule, counts = PreTokens(path, kind), Counter()
+        (rule, _), counts = kept(path, kind, lambda r, token: 0, "none"), Counter()
         for batch in slices(batches, "text", 1 << 20):
             for text in batch.column("text").to_pylist():
                 tokens = rule.split(text)
@@ -57,20 +58,20 @@ def frequent(docs: DataFrame, text_col: str = "text", path: str = "", kind: str
     return [row.token for row in top.collect()]
 
 
-def lengths(spark: SparkSession, tokens: list[str], path: str, kind: str = "word") -> dict[str, int]:
+def lengths(tokens: list[str], path: str, kind: str = "word") -> dict[str, int]:
     rule = PreTokens(path, kind)
-    return dict(zip(tokens, (len(x.ids) for x in rule.library.encode_batch(tokens, add_special_tokens=False)), strict=True)) if tokens else {}
+    return {token: len(rule.piece(token)) for token in tokens}
 
 
 def count_tokens(docs: DataFrame, keep: dict[str, str], text_col: str = "text", path: str = "", kind: str = "word") -> DataFrame:
     """Adds n_bytes and n_tokens to the columns in keep (name to type). path: a tokenizers file on every machine."""
     path = path or public_tokenizers.path(TOKENIZER)
     spark, names = docs.sparkSession, list(keep)
-    table = spark.sparkContext.broadcast(lengths(spark, frequent(docs, text_col, path, kind), path, kind))
+    table = spark.sparkContext.broadcast(lengths(frequent(docs, text_col, path, kind), path, kind))
+    run_id = f"lengths-{uuid.uuid4().hex}"  # a worker takes up the table that was sent to it
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rule, common = PreTokens(path, kind), table.value
-        cache = Cache(lambda token: len(rule.ids(token)), start=common)
+        rule, cache = kept(path, kind, lambda r, token: len(r.piece(token)), run_id, table.value)
         look = cache.__getitem__
         for batch in slices(batches, "text"):
             counts, sizes = [], []
