@@ -2,8 +2,9 @@
 
 Each letter has a random vector of +1 and -1 drawn from its code point. A trigram's vector binds
 (multiplies) its letters' vectors, each rotated by its place; a text's vector bundles (adds) those of its
-trigrams, with one space for every run of other characters and at both ends. A language's prototype
-bundles all its labelled texts. Texts are compared with prototypes by cosine, after the prototypes'
+trigrams, with one space for every run of other characters and at both ends. A trigram that a text has n times counts
+1 + floor(log2(n)). A language's prototype bundles the distinct trigrams of all its labelled texts, so that texts that
+repeat themselves do not drown the others. Texts are compared with prototypes by cosine, after the prototypes'
 mean direction, which all languages share, is taken out of both.
 
 Nulls: a null text, or one without a letter, is `und` with score 0; rows with a null language train nothing.
@@ -117,11 +118,11 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
         sums: dict[str, np.ndarray] = {}
         for batch in slices(batches, "text", 1 << 20, 256):
             langs = np.array(batch.column("lang").to_pylist(), object)
-            owners, keys, counts = encoder.trigrams(batch.column("text").to_pylist())
+            owners, keys, _ = encoder.trigrams(batch.column("text").to_pylist())
             for name in dict.fromkeys(langs[owners]):
                 own = langs[owners] == name
-                distinct, place = np.unique(keys[own], return_inverse=True)
-                added = encoder.bundle(np.zeros(len(distinct), np.int64), distinct, np.bincount(place, counts[own]), 1)[0]
+                distinct, texts = np.unique(keys[own], return_counts=True)
+                added = encoder.bundle(np.zeros(len(distinct), np.int64), distinct, texts, 1)[0]
                 sums[name] = sums.get(name, 0) + np.rint(added).astype(np.int64)
         for name, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * dimensions), pa.array(np.arange(dimensions, dtype=np.int32)), pa.array(total)], names=["lang", "dim", "value"])
@@ -154,7 +155,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: dict[str,
         for batch in slices(batches, "text", 1 << 20, 256):
             texts = [x or "" for x in batch.column("text").to_pylist()]
             owners, keys, counts = encoder.trigrams(texts)
-            bundles = unit(encoder.bundle(owners, keys, counts, len(texts)))
+            bundles = unit(encoder.bundle(owners, keys, np.frexp(counts)[1], len(texts)))  # the exponent of n is 1 + floor(log2(n))
             cosines = np.round(unit(bundles - np.outer(bundles @ shared, shared)) @ profiles.T, 9)
             lettered = np.zeros(len(texts), bool)
             lettered[owners] = bool(langs)
