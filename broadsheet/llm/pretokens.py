@@ -1,9 +1,9 @@
-"""Splitting texts into the pre-tokens of a tokenizers file, fast for Latin text and exact for all.
+"""Splitting texts into the pre-tokens of a tokenizers file, fast for every script and exact for all.
 
-The rule of a file is applied here by `re` on texts whose every character is below U+0250: there the
-classes of letters and numbers are listed from the character database, and composition leaves text
-as it is. Any other text, and any that holds the string of an added token, goes through the library's own
-encode(). A pre-token's ids do not depend on its neighbours, so they are looked up in a cache and encoded once.
+The rule of a file is applied here by `re`, its classes of letters and numbers listed from the character database up
+to U+FFFF. Characters beyond are symbols to the rule, as emoji are. A text with a letter or number beyond, with a
+character that the database does not know, or with the string of an added token goes through the library's own encode().
+A pre-token's ids do not depend on its neighbours, so they are looked up in a cache and encoded once.
 """
 
 from __future__ import annotations
@@ -12,24 +12,37 @@ import itertools
 import re
 import sys
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from functools import cache
 
 from tokenizers import Tokenizer
 
 from .shared import held
 
-_TOP = 0x250
+_TOP = 0x10000
+#: From here on no character is listed; all are left to the library.
+_END = 0x32400
 
 
-def _listed(kind: str) -> str:
-    """The ranges of a character class below _TOP."""
-    inside = [unicodedata.category(chr(i))[0] == kind for i in range(_TOP)] + [False]
-    starts = [i for i in range(_TOP) if inside[i] and not (i and inside[i - 1])]
-    return "".join(f"{re.escape(chr(i))}-{re.escape(chr(inside.index(False, i) - 1))}" for i in starts)
+def _ranges(codes: Iterable[int]) -> str:
+    """A character class's inside that lists these code points, which must ascend."""
+    out: list[list[int]] = []
+    for code in codes:
+        if out and out[-1][1] == code - 1:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+@cache
+def _listed(kinds: str, first: int = 0, end: int = _TOP) -> str:
+    """The code points whose major category is among kinds, or that are unassigned where kinds has a 0."""
+    return _ranges(i for i in range(first, end) if (c := unicodedata.category(chr(i)))[0] in kinds or "0" in kinds and c in ("Cn", "Co", "Cs"))
 
 
 # fixed values: the split rules of the two tokenizers files, with white space as the library has it
-_SPACE = r"\t\n\x0b\x0c\r \x85\xa0"
+_SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _RULES = {
     "word": "[{L}]+|'(?:[stmd]|re|ve|ll)|[{N}]|[^{S}{L}{N}]+",
     "byte": " ?[{L}]+|'(?:[stmd]|re|ve|ll)| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+",
@@ -45,29 +58,48 @@ def _byte_letters() -> dict[int, str]:
 
 
 class PreTokens:
-    """One tokenizer with its split rule; kind is `word` or `byte`."""
+    """One tokenizer with its split rule; kind is `word` (composed and lower-cased first) or `byte`."""
 
     def __init__(self, path: str, kind: str) -> None:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.find: Callable[[str], list[str]] = re.compile(_RULES[kind].format(L=_listed("L"), N=_listed("N"), S=_SPACE)).findall
+        rule = _RULES[kind]
+        # texts of one byte a character take classes that end there
+        self.narrow: Callable[[str], list[str]] = re.compile(rule.format(L=_listed("L", 0, 256), N=_listed("N", 0, 256), S=_SPACE)).findall
+        self.rule, self._wide = rule, None
         self.model, self.letters = self.library.model, _byte_letters()
         self.lower = kind == "word"
-        moved = "".join(re.escape(chr(i)) for i in range(_TOP) if len(low := chr(i).lower()) > 1 or ord(low) >= _TOP)
-        self.odd = re.compile(f"[^\\x00-{chr(_TOP - 1)}]|[{moved}]").search
         self.added = [x.content for x in self.library.get_added_tokens_decoder().values()]
 
+    def wide(self, text: str) -> list[str] | None:
+        """The pre-tokens of any text, or None where only the library can tell."""
+        if self._wide is None:
+            self._wide = (
+                re.compile(f"[{_listed('0')}{_listed('LN0', _TOP, _END)}{chr(_END)}-{chr(sys.maxunicode)}]").search,
+                re.compile(self.rule.format(L=_listed("L"), N=_listed("N"), S=_SPACE)).findall,
+            )
+        odd, find = self._wide
+        if odd(text):
+            return None
+        if self.lower:
+            # the library lower-cases each letter by itself, str.lower() a final sigma by its place
+            if unicodedata.is_normalized("NFC", text):
+                return find(text.replace("Σ", "σ").lower())
+            text = self.library.normalizer.normalize_str(text)
+            if odd(text):
+                return None
+        return find(text)
+
     def split(self, text: str) -> list[str] | None:
         """The text's pre-tokens, or None where only the library can tell."""
+        if any(x in text for x in self.added):
+            return None
         try:
             text.encode("latin-1")  # a fast test; lower-casing stays within it
         except UnicodeEncodeError:
-            if self.odd(text):
-                return None
-        if any(x in text for x in self.added):
-            return None
-        return self.find(text.lower() if self.lower else text)
+            return self.wide(text)
+        return self.narrow(text.lower() if self.lower else text)
 
     def piece(self, token: str) -> list[int]:
         """The ids of one pre-token that split() gave, by the library's model alone."""
