@@ -1,13 +1,15 @@
 """Packing tokenised documents into sequences of a fixed capacity by a configuration linear program.
 
 The lengths of all pieces are counted, which gives a histogram of at most `capacity` numbers whatever the
-corpus holds. On the driver a linear program over configurations (multisets of lengths that fit into one
-sequence) is solved by multiplicative weights: each length has a price that falls exponentially with its
-coverage, an unbounded-knapsack dynamic program finds the dearest configurations, and each is taken a small
-step. The fractional solution is rounded down; what remains, a few pieces for each configuration, is placed
-best-fit decreasing. The plan, whose size also depends on the histogram alone, is broadcast, and every piece
-finds its place from its length and its rank among pieces of that length. Ranks are numbered in shards, so
-that no length, however frequent, gathers in one task.
+corpus holds. On the driver the long pieces' lengths are rounded up to at most CLASSES classes, and the linear program
+over configurations (multisets of classes that fit into one sequence) is solved by multiplicative weights: each class
+has a price that falls exponentially with its coverage, an unbounded-knapsack dynamic program finds the dearest
+configurations, and each is taken a small step, never beyond the demand of a class; a class that is covered leaves the
+program. Each round's prices prove a lower bound. The fractional solution is rounded down; what remains, a few pieces for
+each configuration, and the short pieces, which fill the room that is left, are placed best-fit decreasing, so that the
+plan never needs more sequences than best-fit decreasing alone. The plan, whose size also depends on
+the histogram alone, is broadcast, and every piece finds its place from its length and its rank among pieces of that
+length. Ranks are numbered in shards, so that no length, however frequent, gathers in one task.
 
 Nulls: a null text is empty and still gives one piece of one token, the end id. Only documents longer than the
 capacity are cut; their first piece takes the remainder. Repeated rows are packed as often as they come.
@@ -19,6 +21,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +38,10 @@ from .shared import slices, stage
 CAPACITY, END_ID, TOKENIZER = 2048, 0, "byte_bpe_50k.json"
 #: Of the pieces of one length, about so many are numbered together at most.
 SHARD_ROWS = 4096
+#: Classes of the program, and the part of the capacity up to which a piece is short.
+CLASSES, SHORT = 160, 8
+#: Bounds for the room that the program's sequences may leave, one of which is taken.
+_ROOMS = (0, 2, 8, 32, 128, 1 << 62)
 
 
 # ---- tokenised pieces ----------------------------------------------------------------------------
@@ -76,79 +83,154 @@ class Bins:
     contents: list[tuple[int, int]] = field(default_factory=list)
 
 
-def _price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """The dearest contents for each room up to capacity, and the piece placed last (-1: leave one unit free)."""
-    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
-        best[room] = best[room - 1]
-        if upto[room]:
-            found = best[room - lengths[: upto[room]]] + values[: upto[room]]
-            top = int(found.argmax())
-            if found[top] > best[room]:
-                best[room], last[room] = found[top], top
-    return best, last
-
-
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, step: float = 0.25, sharp: float = 24.0, near: float = 0.002, rounds: int = 300) -> dict[tuple[int, ...], float]:
-    """Multiplicative weights for the covering program: configuration to how often it is used.
-
-    A configuration names lengths by index, sorted. Each step covers at most `step` of any length, prices are
-    exp(-sharp * coverage) / count, and every configuration within `near` of the dearest is taken in a round.
+def classes(lengths: np.ndarray, counts: np.ndarray, most: int = CLASSES) -> list[slice]:
+    """Runs of ascending lengths, at most `most`, in none of which rounding up to the longest adds more tokens than needed for that."""
+
+    def cut(limit: float) -> list[slice]:
+        found, end = [], len(lengths)
+        while end:
+            first, added = end - 1, 0.0
+            while first and (more := added + (lengths[end - 1] - lengths[first - 1]) * counts[first - 1]) <= limit:
+                first, added = first - 1, more
+            found.append(slice(first, end))
+            end = first
+        return found[::-1]
+
+    low, high = 0.0, float((lengths * counts).sum())
+    if len(lengths) <= most:
+        return cut(0.0)
+    for _ in range(24):
+        limit = (low + high) / 2
+        low, high = (low, limit) if len(cut(limit)) <= most else (limit, high)
+    return cut(high)
+
+
+def _price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
+    """The dearest contents for each room up to capacity: unbounded knapsack, a length's multiples a block at a time."""
+    best = np.zeros(capacity + 1)
+    for length, value in zip(lengths.tolist(), values.tolist(), strict=True):
+        for start in range(length, capacity + 1, length):
+            end = min(start + length, capacity + 1)
+            np.maximum(best[start:end], best[start - length : end - length] + value, out=best[start:end])
+    return np.maximum.accumulate(best, out=best)
+
+
+def _contents(best: np.ndarray, lengths: np.ndarray, values: np.ndarray, room: int) -> list[int]:
+    """Indices of the contents that best[room] stands for."""
+    found: list[int] = []
+    while room >= lengths[0]:
+        upto = int(np.searchsorted(lengths, room, side="right"))
+        worth = best[room - lengths[:upto]] + values[:upto]
+        top = int(worth.argmax())
+        if worth[top] < best[room] * (1 - 1e-12):
+            room -= 1
+        else:
+            found.append(top)
+            room -= int(lengths[top])
+    return found
+
+
+def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, step: float = 0.05, sharp: float = 10.0, near: float = 0.02) -> tuple[dict[tuple[int, ...], float], float]:
+    """Multiplicative weights for the program: configuration to how often it is used, and the lower bound that the prices prove.
+
+    A configuration names ascending lengths by index, sorted. Weights begin at counts * lengths, so a length's price, its weight
+    over its count, is length * exp(-sharp * coverage). A round takes the configurations that are within `near` of the
+    dearest, each by at most `step` of any length and never beyond a coverage of 1. Each round covers some length by a
+    step or wholly, so there are at most (1 / step + 1) rounds for each length.
     """
-    covered = np.zeros(len(lengths))
+    covered, open_ = np.zeros(len(lengths)), np.ones(len(lengths), bool)
     used: dict[tuple[int, ...], float] = {}
-    for _ in range(rounds):
-        if covered.min() >= 1:
-            break
-        floor = covered.min()
-        values = np.exp(-sharp * (covered - floor)) * lengths
-        best, last = _price(lengths, values, capacity)
-        gain = values + best[capacity - lengths]
-        for top in np.flatnonzero(gain >= (1 - near) * gain.max())[np.argsort(-gain[gain >= (1 - near) * gain.max()], kind="stable")]:
-            if covered[top] >= floor + 2 * step:
+    proven = 0.0
+    while open_.any():
+        left = np.flatnonzero(open_)
+        floor = covered[left].min()
+        sizes, values = lengths[left], lengths[left] * np.exp(-sharp * (covered[left] - floor))
+        best = _price(sizes, values, capacity)
+        proven = max(proven, float((counts[left] * values).sum() / best[capacity]))
+        gain = values + best[capacity - sizes]
+        dear = [int(i) for i in np.argsort(-gain, kind="stable") if gain[i] >= (1 - near) * gain.max()]
+        for nth, i in enumerate(dear):
+            if nth and covered[left[i]] > floor + step:
                 continue
-            items, room = [int(top)], capacity - int(lengths[top])
-            while room > 0:
-                if last[room] < 0:
-                    room -= 1
-                else:
-                    items.append(int(last[room]))
-                    room -= int(lengths[last[room]])
-            config = tuple(sorted(items))
+            items = left[[i, *_contents(best, sizes, values, capacity - int(sizes[i]))]]
             kinds, times = np.unique(items, return_counts=True)
-            amount = step * float((counts[kinds] / times).min())
+            if not open_[kinds].all() or nth and covered[kinds].max() > floor + 2 * step:
+                continue
+            amount = float((np.minimum(step, 1 - covered[kinds]) * counts[kinds] / times).min())
+            config = tuple(sorted(items.tolist()))
             used[config] = used.get(config, 0.0) + amount
             covered[kinds] += amount * times / counts[kinds]
-    worst = max(float(covered.min()), 1e-9)
-    return {k: v / worst for k, v in used.items()} if worst >= 0.5 else used
+            open_[kinds] = covered[kinds] < 1 - 1e-9
+    return used, proven
+
+
+def _filled(whole: int, capacity: int, wanted: list[tuple[list[list[int]], int]]) -> list[Bins]:
+    """whole sequences that take the given numbers of pieces from pools of [length, pieces left], longest last."""
+    found: list[Bins] = []
+    while whole:
+        if all(pool[-1][1] >= times for pool, times in wanted):
+            count = min(whole, *(pool[-1][1] // times for pool, times in wanted))
+            contents = [(pool[-1][0], times) for pool, times in wanted]
+        else:  # one sequence whose pieces of a class differ in length
+            count, contents = 1, []
+            for pool, times in wanted:
+                at = -1
+                while times:
+                    taken = min(times, pool[at][1])
+                    contents.append((pool[at][0], taken))
+                    times, at = times - taken, at - 1
+        found.append(Bins(count, capacity - sum(k * t for k, t in contents), contents))
+        whole -= count
+        held = dict.fromkeys((k for k, _ in contents), 0)
+        for k, t in contents:
+            held[k] += count * t
+        for pool, _ in wanted:
+            for entry in pool:
+                entry[1] -= held.get(entry[0], 0)
+            while pool and not pool[-1][1]:
+                pool.pop()
+    return found
+
+
+def program(histogram: dict[int, int], capacity: int = CAPACITY, short: int = SHORT) -> tuple[list[Bins], dict[int, int]]:
+    """Sequences that the rounded program fills with long pieces, and the pieces it leaves."""
+    left = {k: n for k, n in histogram.items() if n > 0}
+    lengths = np.array(sorted(k for k in left if k * short > capacity), np.int64)
+    if not len(lengths):
+        return [], left
+    counts = np.array([left[k] for k in lengths.tolist()], float)
+    runs = classes(lengths, counts)
+    used, _ = fractional(np.array([lengths[r.stop - 1] for r in runs]), np.array([counts[r].sum() for r in runs]), capacity)
+    pools = [[[k, left[k]] for k in lengths[r].tolist()] for r in runs]
+    bins: list[Bins] = []
+    for config, amount in sorted(used.items(), key=lambda x: (-x[1], x[0])):
+        kinds, times = np.unique(config, return_counts=True)
+        bins += _filled(int(amount + 1e-6), capacity, [(pools[k], t) for k, t in zip(kinds.tolist(), times.tolist(), strict=True)])
+    for bin_ in bins:
+        for k, t in bin_.contents:
+            left[k] -= bin_.count * t
+    return bins, {k: n for k, n in left.items() if n}
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Bins]:
-    """Groups of alike sequences that hold every piece of the histogram once."""
-    left = {k: n for k, n in histogram.items() if n > 0}
-    bins: list[Bins] = []
-    for _ in range(3):  # the program, then the same for what rounding left
-        lengths = np.array(sorted(left), dtype=np.int64)
-        if not len(lengths):
-            break
-        counts = np.array([left[k] for k in lengths], dtype=np.float64)
-        used = fractional(lengths, counts, capacity)
-        placed = 0
-        for config, amount in sorted(used.items(), key=lambda x: (-sum(lengths[i] for i in x[0]), -x[1], x[0])):
-            kinds, times = np.unique(config, return_counts=True)
-            times = [int(t) for t in times]
-            sizes = [int(lengths[i]) for i in kinds]
-            whole = min(int(amount), *(left[k] // t for k, t in zip(sizes, times, strict=True)))
-            if whole:
-                bins.append(Bins(whole, capacity - sum(k * t for k, t in zip(sizes, times, strict=True)), list(zip(sizes, times, strict=True))))
-                placed += whole
-                for k, t in zip(sizes, times, strict=True):
-                    left[k] -= whole * t
-        left = {k: n for k, n in left.items() if n}
-        if not placed:
-            break
-    return _best_fit(bins, left, capacity)
+    """Groups of alike sequences that hold every piece of the histogram once.
+
+    Rounding lengths up to classes leaves room in the program's sequences. Those with more than some room are taken apart
+    again before best-fit places what remains; of several such bounds the one that needs the fewest sequences counts.
+    """
+    solved, left = program(histogram, capacity)
+    found = _best_fit([], {k: n for k, n in histogram.items() if n > 0}, capacity)
+    for room in _ROOMS:
+        kept = [Bins(b.count, b.free, list(b.contents)) for b in solved if b.free <= room]
+        rest = Counter(left)
+        for b in solved:
+            if b.free > room:
+                for k, t in b.contents:
+                    rest[k] += b.count * t
+        packed = _best_fit(kept, rest, capacity)
+        if kept and sum(b.count for b in packed) <= sum(b.count for b in found):
+            found = packed
+    return found
 
 
 def _best_fit(bins: list[Bins], left: dict[int, int], capacity: int) -> list[Bins]:
