@@ -9,8 +9,11 @@
 4. Within a coarse group all sets are compared exactly and the links, again as a spanning forest, give the
    components.
 
-Buckets and coarse groups of any size are cut into blocks of BLOCK classes and compared block by block, so that no
-task holds more than two blocks, nothing is capped and no pair is written out that a forest does not need.
+Buckets and coarse groups of any size are cut into blocks of BLOCK classes, so that no task holds more than two blocks,
+nothing is capped and no pair is written out that a forest does not need. First each block is compared by itself; what
+is linked is contracted, and one class of each part goes on to the next round, while rounds halve their number. Where
+parts are left, their classes are compared across parts, block by block, and among classes of small parts only blocks of
+like set sizes, as linked sets differ in size by less than the threshold.
 The threshold is a parameter, and the number of bands follows from it: 24 for 0.85, 35 for 0.8. A link right at the
 threshold is missed by the bands with a chance of (1 - threshold**ROWS)**bands, below one in a million, and by the
 estimate with one of about three in a million.
@@ -29,20 +32,18 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import slices, stage
+from .shared import held, slices, stage
 
 SHINGLE, ROWS, BITS, SEED = 5, 5, 4, 11
 #: Links need 100 * shared >= percent * united; this is op9's.
 PERCENT = 85
 #: The bands may miss a link at the threshold with this chance.
 MISSED = 1e-6
-MARGIN, BLOCK = 4.5, 256
-#: Members of coarse groups up to this many are found in the documents by a broadcast of their ids, 24 bytes each.
-BROADCAST_IDS = 100_000
+MARGIN, BLOCK = 4.5, 64
 
 _FIELDS = np.uint64(int("1" * (64 // BITS), 1 << BITS))
 
@@ -64,7 +65,7 @@ class Words(dict):
     """Word to 64-bit hash, for as many words as a worker may keep."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         if len(word) <= 64:
@@ -154,32 +155,25 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def blocked(rows: DataFrame, key: str, size: str, payload: str, kernel: Callable[[list], np.ndarray], block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) among rows (key, size, id, payload) of one key, size being the key's number of rows.
+def compared(dealt: DataFrame, payload: str, kernel: Callable[[list], np.ndarray]) -> DataFrame:
+    """Edges (wide, a, b), a spanning forest of the links within each group (key, i, j) of dealt (key, i, j, wide, id, payload)."""
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+    names = ["wide", "a", "b"]
 
-    Each row goes to every pair of blocks that its own block is part of; kernel gets the payloads of
-    at most about two blocks and tells which are linked. Rows of a pair lie together after one shuffle.
-    """
-    blocks = F.ceil(F.col(size) / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit(7)), F.col("_blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    paired = (
-        rows.withColumn("_blocks", blocks).withColumn("_own", own).withColumn("_other", other)
-        .select(key, F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "id", payload)
-    )
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = paired.repartition(parts, key, "_i", "_j").sortWithinPartitions(key, "_i", "_j", "id")
-
-    def flush(group: list[tuple]) -> list[tuple[int, int]]:
+    def flush(group: list[tuple], wide: bool) -> list[tuple[bool, int, int]]:
         if len(group) < 2:
             return []
         ids = [g[0] for g in group]
-        return [(ids[i], ids[j]) for i, j in forest(kernel([g[1] for g in group]))]
+        return [(wide, ids[i], ids[j]) for i, j in forest(kernel([g[1] for g in group]))]
+
+    def batch_of(edges: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.bool_()), *(pa.array([e[k] for e in edges], pa.int64()) for k in (1, 2))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, group, edges = None, [], []
+        at, wide, group, edges = None, False, [], []
         for batch in batches:
-            heads = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (key, "_i", "_j")], axis=1)
+            heads = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "i", "j", "wide")], axis=1)
             ids = batch.column("id").to_pylist()
             values = batch.column(payload)
             cuts = np.flatnonzero((heads[1:] != heads[:-1]).any(axis=1)) + 1
@@ -188,16 +182,82 @@ def blocked(rows: DataFrame, key: str, size: str, payload: str, kernel: Callable
                     continue
                 head = tuple(heads[begin].tolist())
                 if head != at:
-                    edges += flush(group)
-                    at, group = head, []
+                    edges += flush(group, wide)
+                    at, wide, group = head, bool(head[3]), []
                 group += [(ids[x], np.frombuffer(values[x].as_py(), np.uint64)) for x in range(begin, end)]
             if len(edges) > 1 << 16:
-                yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], names=["a", "b"])
+                yield batch_of(edges)
                 edges = []
-        edges += flush(group)
-        yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], names=["a", "b"])
+        yield batch_of(edges + flush(group, wide))
+
+    return ordered.select("key", "i", "j", "wide", "id", payload).mapInArrow(run, "wide boolean, a long, b long")
+
+
+def _own(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("id", F.lit(7)), blocks).cast("int")
+
 
-    return dealt.mapInArrow(run, "a long, b long")
+def _across(units: DataFrame, block: int) -> DataFrame:
+    """(key, kind, unit, first, blocks, others): where each unit's blocks lie, and the blocks that its rows are compared with.
+
+    Units (key, kind, unit) with their number of rows are large parts (kind 0) or, of all small parts, the classes of one
+    size step (kind 1). Parts are compared with all but themselves, steps with all parts, themselves and the steps next to them.
+    """
+    every, ordered = Window.partitionBy("key"), Window.partitionBy("key").orderBy("kind", "unit")
+    near = Window.partitionBy("key", "kind").orderBy("unit").rangeBetween(-1, 1)
+    between = lambda low, end: F.when(low < end, F.sequence(low, end - 1)).otherwise(F.array().cast("array<int>"))
+    zero, first, end = F.lit(0), F.col("first"), F.col("first") + F.col("blocks")
+    laid = units.withColumn("blocks", F.ceil(F.col("rows") / F.lit(block)).cast("int")).withColumn("first", (F.sum("blocks").over(ordered) - F.col("blocks")).cast("int"))
+    laid = (
+        laid.withColumn("all", F.sum("blocks").over(every).cast("int"))
+        .withColumn("parts", F.coalesce(F.sum(F.when(F.col("kind") == 0, F.col("blocks"))).over(every), zero).cast("int"))
+        .withColumn("low", F.min("first").over(near))
+        .withColumn("high", F.max(end).over(near))
+    )
+    others = F.when(F.col("kind") == 0, F.concat(between(zero, first), between(end, F.col("all")))).otherwise(F.concat(between(zero, F.col("parts")), between(F.col("low"), F.col("high"))))
+    return laid.select("key", "kind", "unit", "first", "blocks", others.alias("others"))
+
+
+def blocked(rows: DataFrame, make: Callable[[DataFrame], DataFrame], payload: str, count: Column, kernel: Callable[[list], np.ndarray], percent: int, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) whose components are those of all links among rows of one key.
+
+    make turns rows (key, size, id, ...), size being the key's number of rows, into (key, size, id, payload, ...); count tells
+    the set's size from these; kernel gets the payloads of at most about two blocks and tells which are linked.
+    """
+    alone = make(rows).select("key", "id", payload, _own(F.ceil(F.col("size") / F.lit(block))).alias("i"), (F.col("size") > block).alias("wide"))
+    first = stage(compared(alone.withColumn("j", F.col("i")), payload, kernel), "links")
+    found, linked_ = first.select("a", "b"), first.where("wide").select("a", "b")
+    if rows.where(F.col("size") > block).isEmpty():
+        return found
+    # a set and one of the next step but one differ in size by more than the threshold
+    step = F.floor(F.log(count.cast("double")) / F.lit(-math.log(percent / 100)) + F.lit(1e-9)) if percent < 100 else count
+    wide = stage(make(rows.where(F.col("size") > block)).select("key", "id", payload, step.cast("long").alias("step")), "wide")
+    before = None
+    while True:
+        parts = connected_components(linked_)
+        at = wide.select("key", "id", "step").join(parts, wide.id == parts.node, "left").select("key", "id", "step", F.coalesce("component", "id").alias("part"))
+        at = stage(at, "parts")
+        sizes = stage(at.groupBy("key", "part").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("id")), "part-sizes")
+        several = stage(sizes.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "several")
+        left = several.agg(F.sum("size")).first()[0] or 0
+        if not left:
+            return found
+        if before is not None and 2 * left > before:
+            break
+        before = left
+        reps = sizes.select("key", "id").join(several, "key")
+        alone = wide.select("key", "id", payload).join(reps, ["key", "id"]).select("key", "id", payload, _own(F.ceil(F.col("size") / F.lit(block))).alias("i"), F.lit(True).alias("wide"))
+        more = stage(compared(alone.withColumn("j", F.col("i")), payload, kernel), "links").select("a", "b")
+        found, linked_ = found.unionByName(more), more.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    large = F.col("rows") >= block
+    kind, unit = F.when(large, 0).otherwise(1), F.when(large, F.col("part")).otherwise(F.col("step"))
+    dealt = at.join(sizes.select("key", "part", "rows"), ["key", "part"]).join(several.select("key"), "key", "left_semi").select("key", "id", kind.alias("kind"), unit.alias("unit"))
+    dealt = stage(dealt, "units")
+    laid = stage(_across(dealt.groupBy("key", "kind", "unit").agg(F.count(F.lit(1)).alias("rows")), block), "layout")
+    placed = dealt.join(laid, ["key", "kind", "unit"]).select("key", "id", (F.col("first") + _own(F.col("blocks"))).alias("own"), F.explode("others").alias("other"))
+    paired = placed.join(wide.select("key", "id", payload), ["key", "id"])
+    last = paired.select("key", "id", payload, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.lit(True).alias("wide"))
+    return found.unionByName(stage(compared(last, payload, kernel), "links").select("a", "b"))
 
 
 def similar(signatures: list[np.ndarray], percent: int) -> np.ndarray:
@@ -240,7 +300,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, n_shingles, same, signature, bands): same is a 128-bit digest of the set, null for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, signer = Words(), Signer(percent=percent)
+        words, signer = held(("words",), Words), Signer(percent=percent)
         for batch in slices(batches, "text"):
             counts, same, packed, bands = [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
@@ -262,7 +322,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     """(key, size, id, shingles) of (key, size, id, text): the sorted set as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words = held(("words",), Words)
         for batch in slices(batches, "text"):
             sets = [shingles(t, words).tobytes() for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("size"), batch.column("id"), pa.array(sets, pa.binary())], names=["key", "size", "id", "shingles"])
@@ -277,20 +337,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = signed.select("id", "n_shingles", "same").join(classes, "same", "left")
     firsts = classes.select(F.col("rep").alias("id"), F.col("same").alias("same_"))
     reps = signed.join(firsts, (signed.id == firsts.id) & (signed.same == firsts.same_), "left_semi").dropDuplicates(["id", "same"])
-    reps = stage(reps.select("id", "signature", "bands"), "reps")
+    reps = stage(reps.select("id", F.col("n_shingles").alias("n"), "signature", "bands"), "reps")
 
     keyed = reps.select("id", F.explode("bands").alias("key"))
     buckets = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    crowded = stage(keyed.join(buckets, "key"), "crowded").join(reps.select("id", "signature"), "id")
-    coarse = stage(blocked(crowded, "key", "size", "signature", partial(similar, percent=percent)), "coarse")
+    crowded = stage(keyed.join(buckets, "key"), "crowded")
+    with_signature = lambda rows: rows.join(reps.select("id", "n", "signature"), "id")
+    coarse = blocked(crowded, with_signature, "signature", F.col("n"), partial(similar, percent=percent), percent)
 
     groups = connected_components(coarse)
     sizes = stage(groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    members = stage(groups.join(sizes, "component").select(F.col("node").alias("member"), F.col("component").alias("key"), "size"), "members")
-    few = members.count() <= BROADCAST_IDS
+    members = stage(groups.join(sizes, "component").select(F.col("node").alias("id"), F.col("component").alias("key"), "size"), "members")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), _text(docs, text_col).alias("text"))
-    wanted = texts.join(F.broadcast(members) if few else members, texts.id == members.member).drop("member")
-    links = stage(blocked(shingle_sets(wanted), "key", "size", "shingles", partial(linked, percent=percent)), "links")
+    # a merge join at every size: members grow with the documents, so a broadcast would only serve small inputs
+    with_set = lambda rows: shingle_sets(texts.join(rows.hint("merge"), "id").select("key", "size", "id", "text"))
+    links = blocked(members, with_set, "shingles", F.octet_length("shingles") / 8, partial(linked, percent=percent), percent)
 
     components = connected_components(links)
     named = stage(named, "named")
