@@ -16,9 +16,10 @@ leaves than others.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.numbering import numbered
 from .shared import WORD, stage
 
 WEIGHTS, SHARE, CAP, LEAF, SEED = (3.0, 1.0, 2.0), 1.5, 2.0, 64, 5
@@ -31,24 +32,26 @@ _PIECE = "struct<id: bigint, size: double, p: double, whole: bigint, rows: bigin
 def targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """(source, rank, source_size, n_docs, target) for each source of (source, size): water-filling below the caps.
 
-    Sources are ordered by code point, null last, and take the weights in turn. Those whose cap lies below
-    their part of what is left are filled to the cap, in the order of cap over weight; the others divide the rest.
+    Sources are ordered by code point, null last, and take the weights in turn. Those whose part of what is left lies above
+    their cap are filled to it and what they cannot take is dealt out again, until none is above. Each round is one
+    aggregate of a number for each weight; sources are numbered by ranges, so that many of them meet in no one task.
     """
     sources = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    by_name = Window.orderBy(F.asc_nulls_last("source"))
-    ranked = sources.withColumn("rank", F.row_number().over(by_name) - 1).withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int")))
-    full = ranked.withColumn("most", F.col("source_size") * F.lit(float(cap)))
-    first = Window.orderBy(F.col("most") / F.col("weight"), "rank")
-    upto, all_rows = first.rowsBetween(Window.unboundedPreceding, Window.currentRow), first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    filled = (
-        full.withColumn("total", F.sum("source_size").over(all_rows) * F.lit(float(share)))
-        .withColumn("left", F.col("total") - (F.sum("most").over(upto) - F.col("most")))
-        .withColumn("weights", F.sum("weight").over(all_rows) - (F.sum("weight").over(upto) - F.col("weight")))
-        .withColumn("level", F.col("left") / F.col("weights"))
-        .withColumn("open", F.col("level") * F.col("weight") <= F.col("most"))
-    )
-    level = F.min_by(F.when(F.col("open"), F.col("level")), F.when(F.col("open"), F.struct(F.col("most") / F.col("weight"), F.col("rank")))).over(all_rows)
-    return filled.withColumn("water", level).select("source", "rank", "source_size", "n_docs", F.least(F.col("most"), F.coalesce(F.col("water") * F.col("weight"), F.col("most"))).alias("target"))
+    ranked = numbered(sources.withColumn("_none", F.col("source").isNull()), ["_none", "source"], "rank").drop("_none")
+    turn = (F.col("rank") % len(weights)).cast("int")
+    full = stage(ranked.withColumn("turn", turn).withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), turn + 1)).withColumn("most", F.col("source_size") * F.lit(float(cap))), "sources")
+    total, level, closed = None, None, -1
+    while True:
+        over = F.lit(False) if level is None else F.lit(level) * F.col("weight") > F.col("most")
+        found = full.groupBy("turn").agg(F.sum("source_size").alias("all"), F.sum(F.when(over, F.col("source_size")).otherwise(0)).alias("filled"), F.count(F.when(over, 1)).alias("closed"), F.count(F.lit(1)).alias("n")).collect()
+        total = sum(r["all"] for r in found) * float(share)
+        open_weight = sum((r["n"] - r["closed"]) * float(weights[r["turn"]]) for r in found)
+        if sum(r["closed"] for r in found) == closed or not open_weight:
+            break
+        closed = sum(r["closed"] for r in found)
+        level = (total - float(cap) * sum(r["filled"] for r in found)) / open_weight
+    target = F.least(F.col("most"), F.lit(level) * F.col("weight")) if level is not None and open_weight else F.col("most")
+    return full.select("source", "rank", "source_size", "n_docs", target.alias("target"))
 
 
 def _uniform(*keys: str) -> str:
