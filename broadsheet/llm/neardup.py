@@ -350,8 +350,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stage(groups.join(sizes, "component").select(F.col("node").alias("id"), F.col("component").alias("key"), "size"), "members")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), _text(docs, text_col).alias("text"))
     # a merge join at every size: members grow with the documents, so a broadcast would only serve small inputs
-    with_set = lambda rows: shingle_sets(texts.join(rows.hint("merge"), "id").select("key", "size", "id", "text"))
-    links = blocked(members, with_set, "shingles", F.octet_length("shingles") / 8, partial(linked, percent=percent), percent)
+    wanted = texts.join(members.hint("merge"), "id")
+    sets = stage(shingle_sets(wanted), "sets")  # the texts are moved once, whatever rounds follow
+    links = blocked(sets, lambda rows: rows, "shingles", F.octet_length("shingles") / 8, partial(linked, percent=percent), percent)
 
     components = connected_components(links)
     named = stage(named, "named")
