@@ -36,8 +36,8 @@ def recency(hours: Column) -> Column:
 
 
 def source_quality(source_id: Column) -> Column:
-    """The trust of what follows the id's first colon."""
-    return lookup(SOURCE_QUALITY, F.regexp_replace(source_id, "^[^:]*:", ""), UNKNOWN_SOURCE)
+    """The trust of what follows the id's first colon, in any case."""
+    return lookup(SOURCE_QUALITY, F.lower(F.regexp_replace(source_id, "^[^:]*:", "")), UNKNOWN_SOURCE)
 
 
 def half_life(span_days: Column, importance: Column) -> Column:

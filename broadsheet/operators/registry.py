@@ -35,11 +35,15 @@ def merge_capped(existing: DataFrame, found: DataFrame, key: str, capacity: int,
 
 
 def mined_links(pages: DataFrame, known: DataFrame | None, id_col: str, links: Column, category: str | None = None) -> DataFrame:
-    """Domains that pages link to: linking rows, distinct URLs, the most frequent category; known domains left out."""
+    """Domains that pages link to: linking rows, distinct URLs, the category that most of them have (the first by name wins a tie); known domains left out."""
     out = pages.select(F.col(id_col).alias("id"), *([F.col(category).alias("category")] if category else []), F.explode(links).alias("url")).withColumn("domain", urls.service_domain(F.col("url"))).where(F.col("domain") != "")
     if known is not None:
         out = out.join(known.select("domain"), "domain", "left_anti")
-    return out.groupBy("domain").agg(F.count_distinct("url").alias("urls"), F.count_distinct("id").alias("refs"), F.min("url").alias("first_url")).withColumn("weight", F.least(F.lit(5) + F.col("urls"), F.lit(8)))
+    found = out.groupBy("domain").agg(F.count_distinct("url").alias("urls"), F.count_distinct("id").alias("refs"), F.min("url").alias("first_url")).withColumn("weight", F.least(F.lit(5) + F.col("urls"), F.lit(8)))
+    if not category:
+        return found
+    counted = out.groupBy("domain", "category").agg(F.count_distinct("id").alias("n"))
+    return found.join(counted.groupBy("domain").agg(F.min_by("category", F.struct(-F.col("n"), F.col("category"))).alias("category")), "domain", "left")
 
 
 def top_terms(rows: DataFrame, terms: Column, n: int = 5) -> DataFrame:

@@ -22,4 +22,4 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
-from . import event_queries, scalar_queries, table_queries  # noqa: E402, F401
+from . import event_queries, scalar_queries, table_queries, whole_queries  # noqa: E402, F401

@@ -40,17 +40,6 @@ def change_detection(spark, sf_dir):
     return dedup.change_detection(activity(spark, sf_dir), "user_id", "ts", "event_type").select("event_id", "previous_hash", "status")
 
 
-@query(f"""WITH {ARTICLES_SQL}, old AS (SELECT DISTINCT url, '0' AS h FROM articles WHERE pos % 4 = 0),
-n AS (SELECT url, left(sha256(url || '||' || title || '||' || summary), 16) AS h FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos) AS r FROM articles WHERE pos % 2 = 0) WHERE r = 1)
-SELECT coalesce(old.url, n.url) AS url, CASE WHEN old.url IS NOT NULL AND n.url IS NOT NULL THEN 'seen_again' ELSE 'new' END AS status, coalesce(n.h, old.h) AS content_hash, old.url IS NOT NULL AND n.url IS NOT NULL AS changed FROM old FULL JOIN n ON old.url = n.url""")
-def url_registry(spark, sf_dir):
-    a = articles(spark, sf_dir)
-    old = a.where("pos % 4 = 0").select("url").distinct().select(
-        "url", F.lit("s").alias("source_id"), as_of().alias("first_seen"), as_of().alias("last_seen"), F.lit("0").alias("content_hash"), F.lit("new").alias("status"), F.lit("2024-01-01").alias("date_bucket")
-    )
-    return dedup.registered(old, a.where("pos % 2 = 0"), as_of()).select("url", "status", "content_hash", "changed")
-
-
 @query("SELECT user_id, max(ts) AS last_ts FROM events GROUP BY user_id HAVING max(ts) >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 2 DAY")
 def expire_old(spark, sf_dir):
     seen = activity(spark, sf_dir).groupBy("user_id").agg(F.max("ts").alias("last_seen"))

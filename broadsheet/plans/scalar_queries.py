@@ -43,19 +43,6 @@ def source_ids(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.source_id(F.lit("web"), F.col("url")).alias("source_id"), urls.source_type(F.col("url")).alias("source_type"))
 
 
-@query(f"""WITH {ARTICLES_SQL}
-SELECT pos, left(sha256(url || '||' || title || '||' || summary), 16) AS content_hash, left(sha256(url), 16) AS article_id,
-  'evt_' || left(sha256(strftime(published, '%G-W%V') || '|' || category || '|' || trim(title)), 12) AS event_key,
-  md5(url || ':' || strftime(published, '%Y-%m-%d')) AS dedup_key, left(md5('GET:' || url), 16) AS request_key FROM articles""")
-def content_hashes(spark, sf_dir):
-    a = articles(spark, sf_dir)
-    return a.select(
-        "pos", urls.content_hash(F.col("url"), F.col("title"), F.col("summary")).alias("content_hash"), urls.article_id(F.col("url")).alias("article_id"),
-        urls.event_id(times.week_label(F.col("published")), F.col("category"), F.col("title")).alias("event_key"),
-        urls.dedup_key(F.col("url"), times.day_bucket(F.col("published"))).alias("dedup_key"), urls.request_key(F.lit("GET"), F.col("url")).alias("request_key"),
-    )
-
-
 @query("SELECT event_id, strftime(ts, '%G-W%V') AS week_label, strftime(ts, '%Y-%m-%d') AS day_bucket FROM events")
 def week_labels(spark, sf_dir):
     e = activity(spark, sf_dir)
@@ -74,13 +61,6 @@ def blacklist_filter(spark, sf_dir):
     return a.where(~texts.blacklisted(F.col("title"), F.col("summary"), ["Ereaea", "thention", "LA.", "c++"])).select("pos")
 
 
-@query(f"""WITH {ARTICLES_SQL} SELECT pos FROM articles
-WHERE floor(epoch(TIMESTAMP '2024-01-31 00:00:00' - published) / 86400) <= 20
-  AND NOT regexp_matches(title || ' ' || summary, '(?i)(?:(?:^|[^\\p{{L}}\\p{{N}}_])of(?:$|[^\\p{{L}}\\p{{N}}_])|tionnt)') AND regexp_matches(title || ' ' || summary, '(?i)(?:er+e|ou)')""")
-def post_filter(spark, sf_dir):
-    return readers.post_filtered(articles(spark, sf_dir), as_of(), F.col("published"), 20, ["er+e", "ou"], ["of", "tionnt"]).select("pos")
-
-
 _KIND = "CASE page_id % 5 WHEN 0 THEN 'rss' WHEN 1 THEN 'web' WHEN 2 THEN 'ftp' ELSE 'github' END"
 _CANDIDATE = f"""CASE page_id % 11 WHEN 0 THEN '' WHEN 1 THEN 'ftp://x.y/z' WHEN 2 THEN 'https://localhost/a' WHEN 3 THEN 'https://www.amazon.com/x' WHEN 4 THEN 'https://amazon.com/feed' ELSE url END"""
 _L0 = f"""SELECT page_id, endpoint, connector, CASE WHEN endpoint = '' THEN 'empty_endpoint'
@@ -148,11 +128,6 @@ def funnel_score(spark, sf_dir):
     return fn.funnel(probed).select("page_id", "l0", "l1", "l2", "l3", "decision", "score")
 
 
-@query(f"""WITH {ARTICLES_SQL} SELECT pos, (CAST(contains(lower(summary), 'the') AS INTEGER) + CAST(contains(lower(summary), 'que') AS INTEGER) + CAST(contains(lower(summary), 'und') AS INTEGER)) >= 2 AS cross_domain FROM articles""")
-def cross_domain_flag(spark, sf_dir):
-    return articles(spark, sf_dir).select("pos", texts.cross_domain(F.col("summary"), ["The", "que", "und"]).alias("cross_domain"))
-
-
 @query(f"SELECT page_id, left({_BARE}, 300) AS bare, substring({_BARE}, 1, CASE page_id % 3 WHEN 0 THEN 2000 WHEN 1 THEN 600 ELSE 800 END) AS preview FROM pages")
 def html_previews(spark, sf_dir):
     kind = F.when(F.col("page_id") % 3 == 0, "arxiv").when(F.col("page_id") % 3 == 1, "github").otherwise("blog")

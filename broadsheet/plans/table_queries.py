@@ -11,6 +11,7 @@ from ..operators import registry
 from ..sources import tables as tb
 from ..streaming import state
 from .catalog import query
+from .lineage import shared_folder
 from .views import ARTICLES_SQL, articles, table
 
 
@@ -35,39 +36,6 @@ def event_article_counts(spark, sf_dir):
     return ev.event_articles(events, bridge, arts).groupBy("event_id").agg(F.count(F.lit(1)).alias("articles"), F.count_distinct("p_brand").alias("brands"))
 
 
-def _customers(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("score"), F.col("c_mktsegment").alias("first_seen"))
-    old = c.where("id % 3 <> 0")
-    new = c.where("id % 2 = 0").select("id", F.upper("name").alias("name"), F.when(F.col("id") % 4 == 0, F.col("score") + 1).alias("score"), F.lit("now").alias("first_seen"))
-    return old, new
-
-
-@query("""WITH o AS (SELECT * FROM customer WHERE c_custkey % 3 <> 0), n AS (SELECT c_custkey, upper(c_name) AS c_name, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal + 1 END AS c_acctbal FROM customer WHERE c_custkey % 2 = 0)
-SELECT coalesce(o.c_custkey, n.c_custkey) AS id, coalesce(n.c_name, o.c_name) AS name, coalesce(n.c_acctbal, o.c_acctbal) AS score, CASE WHEN o.c_custkey IS NOT NULL THEN o.c_mktsegment ELSE 'now' END AS first_seen,
-  CASE WHEN n.c_custkey IS NULL THEN 'kept' WHEN o.c_custkey IS NULL THEN 'inserted' ELSE 'updated' END AS action FROM o FULL JOIN n ON o.c_custkey = n.c_custkey""")
-def upsert_rows(spark, sf_dir):
-    old, new = _customers(spark, sf_dir)
-    return tb.upsert(old, new, ["id"], keep=("first_seen",), fill=("score",), action=True)
-
-
-@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 3 <> 0 THEN c_name ELSE upper(c_name) END AS name FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
-def insert_ignore(spark, sf_dir):
-    old, new = _customers(spark, sf_dir)
-    return tb.insert_ignore(old, new, ["id"]).select("id", "name")
-
-
-@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN upper(c_name) ELSE c_name END AS name FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
-def replace_rows(spark, sf_dir):
-    old, new = _customers(spark, sf_dir)
-    return tb.replace_rows(old, new, ["id"]).select("id", "name")
-
-
-@query("SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS score FROM customer WHERE c_custkey % 3 <> 0")
-def patch_rows(spark, sf_dir):
-    old, new = _customers(spark, sf_dir)
-    return tb.patch(old, new, ["id"], ("score",)).select("id", "name", "score")
-
-
 @query(f"""WITH {ARTICLES_SQL} SELECT url, pos, source_name FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos DESC) AS r FROM articles) WHERE r = 1""")
 def last_wins(spark, sf_dir):
     return tb.last_wins(articles(spark, sf_dir).withColumn("o", F.col("pos")), ["url"], "o").select("url", "pos", "source_name")
@@ -106,12 +74,14 @@ def two_stage_union(spark, sf_dir):
 
 # ---- streaming: the table is read as a stream, run to its end, and the result returned as a table ----
 def _drained(stream, mode="append"):
-    name = f"s_{uuid.uuid4().hex}"
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    shared = stream.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir")
-    started = (writer.option("checkpointLocation", f"{shared.rstrip('/')}/{name}") if shared else writer).start()
-    started.awaitTermination()
-    return stream.sparkSession.table(name)
+    """Every micro-batch is written below the shared folder under its number, so that a repeated one replaces itself."""
+    path = f"{shared_folder(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+
+    def write(batch, number):
+        batch.write.mode("overwrite").parquet(f"{path}/out/{'all' if mode == 'complete' else f'batch={number}'}")
+
+    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").foreachBatch(write).trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/out/*")
 
 
 def _stream(spark, sf_dir, name):

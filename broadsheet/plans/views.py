@@ -25,7 +25,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("pos"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/"), F.left(F.md5(text), F.lit(12))).alias("url"),
         F.left(text, F.lit(80)).alias("title"),
-        F.left(text, F.lit(2000)).alias("summary"),
+        text.alias("summary"),
         F.concat(F.lit("web:"), F.col("source")).alias("source_id"),
         F.col("source").alias("source_name"),
         F.when(F.col("lang") == "en", "LLM").when(F.col("lang") == "fr", "Agent").when(F.col("lang") == "de", "Simulation").otherwise("CAD").alias("category"),
