@@ -3,7 +3,9 @@
 The page is read as a stream of tags and text. Scripts, styles, forms and the like are dropped with what they
 hold, and each block-level element gives one line, white space inside turned into single spaces and
 character references decoded. Each line has the length of its text outside links; lines that stand in a part
-which names itself as a menu, header, footer, sidebar, notice, advert or comments have none. The lengths are
+which names itself as a menu, header, footer, sidebar, notice, advert, form or comments have none. Such names by class or
+identifier, and forms, are only a sign: an element that carries one but holds the page's main element, title or margins
+and nearly all text is a wrapper, and its sign is lifted. The lengths are
 summed over windows of WINDOW lines. A surge is a window whose sum rises to a share of the page's typical
 line length (weighted by characters) and stays; the dive is the first window after it that holds no text at
 all. Of the stretches between surge and dive the one with the most text is the article, and those within
@@ -33,13 +35,15 @@ from .shared import slices
 WINDOW = 3
 #: A surge reaches this share of the typical line length.
 SURGE = 0.2
+#: A wrapper's sign is lifted where the text outside is less than this share of the text within.
+LIFT = 0.1
 
 # fixed values: element names of HTML, and words by which page parts name themselves
 _BLOCKS = frozenset("address article aside blockquote body br caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td template textarea tfoot th thead title tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INNER = frozenset("address blockquote br caption center dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr legend li ol p pre section summary table tbody tfoot thead tr ul".split())
 _RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
-_DROPPED = frozenset("script style textarea title noscript iframe noembed noframes xmp head template form button select option optgroup datalist input label svg math canvas object embed audio video map dialog".split())
+_DROPPED = frozenset("script style textarea title noscript iframe noembed noframes xmp head template button select option optgroup datalist input label svg math canvas object embed audio video map dialog".split())
 _MARGINAL = frozenset("nav header footer aside menu".split())
 _MAIN = frozenset("article main".split())
 _NAMED = re.compile(
@@ -47,6 +51,9 @@ _NAMED = re.compile(
     re.I,
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search menu menubar toolbar alert dialog form".split())
+_COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond)(?=$|[\s_-])", re.I)
+_DENIED = re.compile(r"(?:^|(?<=[\s_-]))(?:no|has|with|without|hide)[_-][a-z]+", re.I)
+_CHAPTERS = frozenset("discussion disclaimer notice notices".split())
 # end of fixed values
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(>|\Z)", re.S)
@@ -56,31 +63,33 @@ _WHITE = re.compile(r"\s+")
 _CLOSES = {"p": _BLOCKS - {"br"}, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "tr": frozenset({"tr"}), "td": frozenset({"td", "th", "tr"}), "th": frozenset({"td", "th", "tr"}), "option": frozenset({"option", "optgroup"})}
 
 
-def _marginal(name: str, attributes: str) -> bool:
+def _marginal(name: str, attributes: str, main: int) -> tuple[int, bool]:
+    """2 if the element is a margin, 1 if a name or being a form is a sign of it, else 0; whether the name is one of comments."""
     if name in _MARGINAL:
-        return True
+        return 2, False
+    sign, comments = int(name == "form"), False
     if not attributes or name in ("html", "body") or name in _MAIN:
-        return False
+        return sign, False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and _NAMED.search(value):
-            return True
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-            return True
+            return 2, False
         if key == "role" and value.lower() in _ROLES:
-            return True
-    return False
+            return 2, False
+        if key in ("class", "id") and _NAMED.search(_DENIED.sub("", value)) and not (name == "section" and main and value.lower() in _CHAPTERS):
+            sign, comments = 1, comments or bool(_COMMENTS.search(value))
+    return sign, comments
 
 
 class Line:
     """One block's text: its parts, characters within links, and where it stands."""
 
-    __slots__ = ("homes", "linked", "main", "marginal", "parts")
+    __slots__ = ("homes", "linked", "main", "margin", "parts", "signs")
 
-    def __init__(self, marginal: bool, main: int, homes: tuple[int, ...]) -> None:
+    def __init__(self, margin: bool, signs: tuple[int, ...], main: int, homes: tuple[int, ...]) -> None:
         self.parts: list[str] = []
         self.linked = 0
-        self.marginal, self.main, self.homes = marginal, main, homes
+        self.margin, self.signs, self.main, self.homes = margin, signs, main, homes
 
 
 def lines(page: str) -> list[tuple[str, int, bool, int, tuple[int, ...]]]:
@@ -90,7 +99,9 @@ def lines(page: str) -> list[tuple[str, int, bool, int, tuple[int, ...]]]:
     without a paragraph has two: that one, which may be a paragraph itself, and the next around it.
     """
     out: list[Line] = []
-    open_: list[tuple[str, bool, bool, int, int]] = []  # name, dropped, marginal, main, number
+    open_: list[tuple[str, bool, bool, tuple[int, ...], int, int]] = []  # name, dropped, margin, elements with a sign, main, number
+    wrappers: dict[int, bool] = {}  # elements with a sign that hold a title, a margin or (True) a main element; forms
+    comments: set[int] = set()
     line: Line | None = None
     mains = links = at = elements = 0
 
@@ -109,9 +120,9 @@ def lines(page: str) -> list[tuple[str, int, bool, int, tuple[int, ...]]]:
         nonlocal line
         if not text or (open_ and open_[-1][1]):
             return
-        marginal, main = (open_[-1][2], open_[-1][3]) if open_ else (False, 0)
-        if line is None or line.marginal != marginal or line.main != main:
-            line = Line(marginal, main, homes())
+        margin, signs, main = open_[-1][2:5] if open_ else (False, (), 0)
+        if line is None or (line.margin, line.signs, line.main) != (margin, signs, main):
+            line = Line(margin, signs, main, homes())
             out.append(line)
         line.parts.append(text)
         if links:
@@ -157,15 +168,25 @@ def lines(page: str) -> list[tuple[str, int, bool, int, tuple[int, ...]]]:
                     break
         if name in _VOID or token[3].endswith("/") and name not in _BLOCKS:
             continue
-        _, dropped, marginal, main, _ = open_[-1] if open_ else ("", False, False, 0, 0)
-        own = _marginal(name, token[3])
-        inside = name in _MAIN and not main and not marginal
+        _, dropped, margin, signs, main, _ = open_[-1] if open_ else ("", False, False, (), 0, 0)
+        own, of_comments = _marginal(name, token[3], main)
+        inside = name in _MAIN and not main and not margin
         if inside:
             mains += 1
         # a header within the main element holds its title
-        if own and main and name == "header" and not _NAMED.search(token[3]):
-            own = False
-        open_.append((name, dropped or name in _DROPPED, marginal or own, mains if inside else main, elements := elements + 1))
+        if own == 2 and main and name == "header" and not _NAMED.search(token[3]):
+            own = 0
+        elements += 1
+        if inside or own == 2 or name == "h1":
+            for x in signs:
+                wrappers[x] = wrappers.get(x, False) or inside
+        if own == 1:
+            signs = (*signs, elements)
+            if of_comments:
+                comments.add(elements)
+            elif name == "form":
+                wrappers[elements] = False
+        open_.append((name, dropped or name in _DROPPED, margin or own == 2, signs, mains if inside else main, elements))
         links += name == "a"
         if name in _RAW:
             closing = re.compile(f"</{re.escape(name)}\\b", re.I).search(page, at)
@@ -177,8 +198,28 @@ def lines(page: str) -> list[tuple[str, int, bool, int, tuple[int, ...]]]:
         text = _WHITE.sub(" ", html.unescape("".join(x.parts))).strip()
         if text:
             plain = len(text) * (1 - x.linked / max(1, sum(map(len, x.parts))))
-            found.append((text, round(plain), x.marginal, x.main, x.homes))
-    return found
+            found.append((text, round(plain), x.margin, x.signs, x.main, x.homes))
+    lifted = _lifted(found, {k: v for k, v in wrappers.items() if k not in comments})
+    return [(text, plain, margin or not lifted.issuperset(signs), main, home) for text, plain, margin, signs, main, home in found]
+
+
+def _lifted(found: list[tuple], wrappers: dict[int, bool]) -> set[int]:
+    """The elements whose sign does not count. wrappers: those that may be one, and whether they hold a main element."""
+    lifted: set[int] = set()
+    while True:
+        free, named, held = 0, False, Counter()
+        for _, plain, margin, signs, main, _ in found:
+            if margin:
+                continue
+            if left := [x for x in signs if x not in lifted]:
+                held[left[0]] += plain
+            else:
+                free += plain
+                named = named or bool(main)
+        wide = [x for x, n in held.items() if x in wrappers and (free < LIFT * n or wrappers[x] and not named and n >= free)]
+        if not wide:
+            return lifted
+        lifted.add(max(wide, key=lambda x: (held[x], -x)))
 
 
 def stretches(weights: np.ndarray, window: int = WINDOW, surge: float = SURGE) -> list[tuple[int, int]]:

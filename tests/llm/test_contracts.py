@@ -11,9 +11,10 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from broadsheet.llm import exactdedup, htmltext, langid, licenses, linededup, media, mixing, neardup, packing, queries, tokencount
+from broadsheet.llm import exactdedup, htmltext, langid, licenses, linededup, media, mixing, neardup, packing, pretokens, queries, tokencount
 from tests.oracle import rows, same
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -156,6 +157,45 @@ def test_plan_places_every_piece():
     assert sum(g.count for g in plan) <= 1.03 * max(-(-sum(k * n for k, n in histogram.items()) // 2048), long)
 
 
+@pytest.mark.parametrize("of", [lambda r: min(2048, int(r.expovariate(1 / 493)) + 1), lambda r: r.randrange(500, 1100), lambda r: r.randrange(300, 700)])
+def test_program_against_best_fit(of):
+    rng = random.Random(1)
+    histogram = Counter(of(rng) for _ in range(100_000))
+    lengths, counts = (np.array(x) for x in zip(*sorted(histogram.items()), strict=True))
+    runs = packing.classes(lengths, counts)
+    tops, n = np.array([lengths[r.stop - 1] for r in runs]), np.array([counts[r].sum() for r in runs], float)
+    used, proven = packing.fractional(tops, n, 2048)
+    covered = np.zeros(len(tops))
+    for config, amount in used.items():
+        assert tops[list(config)].sum() <= 2048
+        np.add.at(covered, list(config), amount)
+    assert np.allclose(covered, n)
+    assert proven <= sum(used.values()) <= 1.05 * proven
+    assert sum(b.count for b in packing.plan(histogram)) <= sum(b.count for b in packing._best_fit([], dict(histogram), 2048))
+
+
+SCRIPTS = ["He said “don’t” — café… 12½", "Все ЛЮДИ рождаются 2 раза. ΟΔΥΣΣΕΎΣ", "人人生而自由，在尊严。　第3章", "emoji 😀😀 a😀b ①", "x 𝒳 𐍈 letters beyond", "e\u0301 A\u030a \u1e9b\u0323", " \u2003\n  y", "İ ß ŉ ǰ"]
+
+
+@pytest.mark.parametrize(("file", "kind"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_every_script_is_split_as_the_library_does(file, kind):
+    rule = pretokens.PreTokens(public_tokenizers.path(file), kind)
+    for text in SCRIPTS + [t or "" for t in edge_texts()]:
+        tokens = rule.split(text)
+        if "𝒳" in text or "<|" in text:
+            assert tokens is None
+        else:
+            assert [i for t in tokens for i in rule.piece(t)] == rule.ids(text)
+
+
+def test_cache_stays_within_its_bytes():
+    cache = pretokens.Cache(len, 5000, {"pinned": -1})
+    for i in range(1000):
+        assert cache[f"token{i}"] == len(f"token{i}")
+        assert cache.bytes < 5000 + 200 and len(cache) < 60
+    assert cache["pinned"] == -1
+
+
 # ---- 5 -----------------------------------------------------------------------------------------------
 def filled(sizes, weights=(3, 1, 2)):
     total = 1.5 * sum(sizes.values())
@@ -215,6 +255,32 @@ def test_main_text(page, want):
     assert htmltext.main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<div class='content-sidebar-wrap'><article><p>{P}</p><p>{P}</p></article><div class=sidebar><p>{P}</p></div></div>", f"{P}\n{P}"),
+        (f"<div class='layout no-header'><p>{P}</p><p>{P}</p></div>", f"{P}\n{P}"),
+        (f"<article><p>{P}</p><section id='discussion'><h2>D</h2><p>{P}</p></section></article>", f"{P}\nD\n{P}"),
+        (f"<body><form action=x><nav><a>n</a></nav><h1>T</h1><p>{P}</p><label>l</label><input><p>{P}</p></form></body>", f"T\n{P}\n{P}"),
+        (f"<div class=sidebar-first><main><p>{P}</p><p>{P}</p></main></div><div><p>short text outside</p></div>", f"{P}\n{P}"),
+        (f"<article><p>Short.</p></article><div id=comments><h1>C</h1><article class=comment><p>{P}</p><p>{P}</p></article></div>", "Short."),
+        (f"<div class='ad'><p>{P}</p></div>", ""),
+        (f"<article><p>{P}</p></article><form><p>{P}</p><p>{P}</p></form>", P),
+    ],
+)
+def test_names_of_wrappers_do_not_drop_the_article(page, want):
+    assert htmltext.main_text(page) == want
+
+
+def test_pages_edge_rows(spark):
+    long = "<article>" + f"<p>{P}</p>" * 5000 + "</article>"
+    rows = [(1, "u", long, 1), (1, "u", long, 1), (2, None, None, 2), (None, "v", "", 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int").withColumn("n_chars", F.lit("x"))
+    got = sorted(((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in htmltext.op6(pages).collect()))
+    assert got == [(0, "v", "", 0), (1, "u", want := "\n".join([P] * 5000), len(want)), (1, "u", want, len(want)), (2, "", "", 0)]
+    assert htmltext.op6(pages.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("insert", ["<div class='ad'><p>one</p><p>two</p><p>three</p></div>", "<ul>" + "<li><a href='x'>read on</a></li>" * 3 + "</ul>"])
 @pytest.mark.parametrize("form", ["<p>{}</p>", "<div>{}</div>", "<section><p>{}</p></section>", "{}<br>"])
 def test_inserts_do_not_end_the_article(insert, form):
@@ -288,6 +354,31 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert got == label
 
 
+def test_parts_are_compared_across(spark):
+    """Two chains whose blocks link late, and many sets that nothing is like: links are those of all pairs."""
+    rng = random.Random(9)
+    sets = []
+    for chain in range(2):
+        base = list(range(1000 * chain, 1000 * chain + 100))
+        for _ in range(60):
+            base = base[3:] + [rng.randrange(10**6, 10**9) for _ in range(3)]
+            sets.append(sorted(base))
+    sets += [sorted(rng.sample(range(10**9, 10**12), rng.randrange(20, 400))) for _ in range(80)]
+    label = list(range(len(sets)))
+    found = neardup.linked([np.array(s, np.uint64) for s in sets], 85)
+    for _ in sets:
+        for a, b in zip(*np.nonzero(found), strict=True):
+            label[a] = label[b] = min(label[a], label[b])
+    rows = spark.createDataFrame([(5, len(sets), i, np.array(s, np.uint64).tobytes()) for i, s in enumerate(sets)], "key long, size long, id long, shingles binary")
+    edges = neardup.blocked(rows, lambda x: x, "shingles", F.octet_length("shingles") / 8, lambda s: neardup.linked(s, 85), 85, 6)
+    got = list(range(len(sets)))
+    pairs_ = [(r.a, r.b) for r in edges.collect()]
+    for _ in sets:
+        for a, b in pairs_:
+            got[a] = got[b] = min(got[a], got[b])
+    assert got == label
+
+
 def test_estimate_is_corrected_for_chance():
     signer, rng = neardup.Signer(), np.random.default_rng(1)
     pool = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
