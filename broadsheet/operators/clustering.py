@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions import texts
+from ..plans.lineage import cut
+from ..plans.numbering import numbered
 
 
 def _vectors(frame: pd.DataFrame, column: str) -> np.ndarray:
@@ -45,7 +47,7 @@ def online_linkage(rows: DataFrame, bucket: str, id_col: str, vector_col: str, t
 
 
 def density_labels(matrix: np.ndarray, least: int = 2, reach: float = 0.6) -> np.ndarray:
-    """Density clusters (DBSCAN over cosine distance): -1 is noise. Labels follow the first member's order."""
+    """Density clusters (DBSCAN over cosine distance) of vectors that fit a task: -1 is noise. Labels follow the first member's order."""
     near = 1 - matrix @ matrix.T <= reach
     core = near.sum(axis=1) >= least
     labels, made = np.full(len(matrix), -1), 0
@@ -63,21 +65,111 @@ def density_labels(matrix: np.ndarray, least: int = 2, reach: float = 0.6) -> np
     return labels
 
 
-def density_clusters(rows: DataFrame, bucket: str, id_col: str, vector_col: str, least: int = 2, reach: float = 0.6) -> DataFrame:
-    """(bucket, id, cluster, noise): noise rows get clusters of their own, numbered after all others.
+def _spanning(near: np.ndarray) -> tuple[list[int], list[int]]:
+    """A spanning forest of a bipartite graph as its edges (row, column): as many as nodes at most, however dense the graph is."""
+    rows, columns = [], []
+    turned = np.ascontiguousarray(near.T)
+    fresh_rows, fresh_columns = near.any(axis=1), near.any(axis=0)
+    for first in np.flatnonzero(fresh_rows):
+        if not fresh_rows[first]:
+            continue
+        fresh_rows[first] = False
+        front = [(True, int(first))]
+        while front:
+            is_row, at = front.pop()
+            found = np.flatnonzero(near[at] & fresh_columns if is_row else turned[at] & fresh_rows)
+            (fresh_columns if is_row else fresh_rows)[found] = False
+            there = found.tolist()
+            rows += [at] * len(there) if is_row else there
+            columns += there if is_row else [at] * len(there)
+            front += [(not is_row, x) for x in there]
+    return rows, columns
 
-    The stand-in for topic clustering with models that are not shipped; labels are not comparable with theirs.
+
+def _components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of edges (a, b), the root being the smallest node reachable.
+
+    Each round every node takes its smallest neighbour as parent, parents are followed to their roots by doubling,
+    and the edges between different roots are the next round's graph, so rounds grow with the logarithm of the nodes.
     """
+    graph = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    roots = cut(graph.select(F.col("a").alias("node")).unionByName(graph.select(F.col("b").alias("node"))).distinct()).select("node", F.col("node").alias("root"))
+    graph = graph.where("a <> b")
+    while not graph.isEmpty():
+        both = graph.unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        parents = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("up")))
+        while True:
+            above = parents.select(F.col("node").alias("up"), F.col("up").alias("top"))
+            jumped = cut(parents.join(above, "up").select("node", F.col("top").alias("up"), (F.col("top") < F.col("up")).alias("moved")))
+            parents = jumped.select("node", "up")
+            if jumped.where("moved").isEmpty():
+                break
+        roots = cut(roots.join(parents.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("up", "root").alias("root")))
+        left = graph.join(parents.withColumnRenamed("node", "a"), "a").select(F.col("up").alias("a"), "b")
+        ends = left.join(parents.withColumnRenamed("node", "b"), "b").select("a", F.col("up").alias("b")).where("a <> b")
+        graph = cut(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return roots
+
+
+def density_clusters(rows: DataFrame, bucket: str, id_col: str, vector_col: str, least: int = 2, reach: float = 0.6, block: int = 4096) -> DataFrame:
+    """(bucket, id, cluster, noise): noise rows get clusters of their own, numbered after all others.
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("id", ignore_index=True)
-        labels = density_labels(_vectors(frame, "v"), least, reach)
-        noise = labels < 0
-        labels[noise] = labels.max(initial=-1) + 1 + np.arange(noise.sum())
-        return pd.DataFrame({"bucket": frame["bucket"], "id": frame["id"], "cluster": labels, "noise": noise})
+    The labels are those of density_labels over a whole bucket, but no task holds more than two blocks of it. Rows are
+    dealt to blocks by a hash, and every pair of blocks of a bucket is one task's matrix product, computed twice: first
+    it counts neighbours, which tells the core rows, then it links core rows by a spanning forest (one edge a row at
+    most) and names the core neighbours of the others, fewer than `least` each. Clusters are the components of the
+    core rows; a row between several joins the one that begins first.
 
-    kind = dict(rows.dtypes)[bucket]
-    return rows.select(F.col(bucket).alias("bucket"), F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).groupBy("bucket").applyInPandas(run, f"bucket {kind}, id long, cluster long, noise boolean")
+    The stand-in for topic clustering with models that are not shipped; labels are not comparable with theirs.
+    """
+    named = rows.select(F.col(bucket).alias("bucket"), F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
+    base = cut(numbered(named, ["bucket", "id"], "node"))
+    sizes = base.groupBy(F.col("bucket").alias("_bucket")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = base.join(sizes, F.col("bucket").eqNullSafe(F.col("_bucket"))).drop("_bucket", "id").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+
+    def pairs(these: DataFrame) -> GroupedData:
+        spread = these.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        return spread.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).groupBy("bucket", "i", "j")
+
+    def close(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the rows of either block, and which of them are near each other."""
+        matrix, own = _vectors(group, "v"), group["own"].to_numpy()
+        left, right = np.flatnonzero(own == group["i"].iloc[0]), np.flatnonzero(own == group["j"].iloc[0])
+        near = np.empty((len(left), len(right)), bool)
+        for start in range(0, len(left), 512):
+            part = slice(start, start + 512)
+            near[part] = 1 - matrix[left[part]] @ matrix[right].T <= reach
+        return left, right, near
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        left, right, near = close(group)
+        nodes, n = group["node"].to_numpy()[left], near.sum(axis=1)
+        if group["i"].iloc[0] != group["j"].iloc[0]:
+            nodes, n = np.concatenate([nodes, group["node"].to_numpy()[right]]), np.concatenate([n, near.sum(axis=0)])
+        return pd.DataFrame({"node": nodes, "n": n})[n > 0]
+
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        left, right, near = close(group)
+        nodes, core = group["node"].to_numpy(), group["core"].to_numpy()
+        x, y = _spanning(near & core[left][:, None] & core[right])
+        edge_of, edge_by = np.nonzero(near & ~core[left][:, None] & core[right])
+        edge_by_2, edge_of_2 = np.nonzero(near & core[left][:, None] & ~core[right])
+        a = np.concatenate([left[x], left[edge_of], right[edge_of_2]]).astype(np.int64)
+        b = np.concatenate([right[y], right[edge_by], left[edge_by_2]]).astype(np.int64)
+        return pd.DataFrame({"a": nodes[a], "b": nodes[b], "inner": core[a]})
+
+    counted = pairs(dealt).applyInPandas(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    counted = cut(counted.select("node", (F.col("n") >= least).alias("core"), (F.col("n") > 1).alias("linked")))
+    edges = cut(pairs(dealt.join(counted.where("linked").select("node", "core"), "node")).applyInPandas(link, "a long, b long, inner boolean"))
+    roots = _components(edges.where("inner").select("a", "b"))
+    inner = counted.where("core").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    outer = edges.where("NOT inner").select(F.col("a").alias("edge"), F.col("b").alias("node")).join(inner, "node").groupBy(F.col("edge").alias("node")).agg(F.min("root").alias("root"))
+    placed = base.select("bucket", "id", "node").join(inner.unionByName(outer), "node", "left")
+    placed = cut(placed.select("bucket", "id", F.coalesce("root", "node").alias("root"), F.col("root").isNull().alias("noise")))
+    heads = cut(numbered(placed.select("bucket", "noise", "root").distinct(), ["bucket", "noise", "root"], "n"))
+    first = heads.groupBy(F.col("bucket").alias("_bucket")).agg(F.min("n").alias("first"))
+    labels = heads.join(first, F.col("bucket").eqNullSafe(F.col("_bucket"))).select("root", (F.col("n") - F.col("first")).alias("cluster"))
+    return placed.join(labels, "root").select("bucket", "id", "cluster", "noise")
 
 
 def bucketed(articles: DataFrame, source_name: str = "source_name") -> DataFrame:
@@ -88,7 +180,7 @@ def clustered(articles: DataFrame, vector_col: str = "embedding", id_col: str =
     """Articles with bucket and cluster: semantic deduplication, split by kind of source, linkage for one, density for the other."""
     from .dedup import semantic_dedup
 
-    kept = bucketed(semantic_dedup(articles, dedup_at, id_col, vector_col))
+    kept = cut(bucketed(semantic_dedup(articles, dedup_at, id_col, vector_col)))
     academic = online_linkage(kept.where("bucket = 'academic'"), "bucket", id_col, vector_col, link_at)
     social = density_clusters(kept.where("bucket = 'social'"), "bucket", id_col, vector_col).drop("noise")
     return kept.join(academic.unionByName(social).withColumnRenamed("id", id_col), ["bucket", id_col])

@@ -62,6 +62,25 @@ def test_linkage_prefers_first_on_ties():
     assert clustering.density_labels(np.array([[1.0, 0.0], [1.0, 0.0], [0.0, 1.0]])).tolist() == [0, 0, -1]
 
 
+@pytest.mark.parametrize(("least", "reach"), [(2, 0.1), (4, 0.1), (6, 0.25)])
+def test_density_clusters_of_blocks_are_those_of_a_whole_bucket(spark, least, reach):
+    # blocks of a few rows, so that most neighbours meet in another task; a zero row, border rows, a dense group of copies
+    random = np.random.default_rng(7)
+    vectors = np.vstack([random.normal(size=(120, 3)), np.repeat([[1.0, 2.0, 3.0]], 12, axis=0), np.zeros((1, 3))])
+    buckets = [None if i % 3 == 0 else "b" for i in range(len(vectors))]
+    rows = spark.createDataFrame([(b, 1000 - i, v.tolist()) for i, (b, v) in enumerate(zip(buckets, vectors, strict=True))], "bucket string, id long, v array<double>")
+    got = {(r.bucket, r.id): (r.cluster, r.noise) for r in clustering.density_clusters(rows, "bucket", "id", "v", least, reach, block=16).collect()}
+    want = {}
+    for bucket in (None, "b"):
+        ids = sorted(1000 - i for i, b in enumerate(buckets) if b == bucket)
+        matrix = vectors[[1000 - i for i in ids]]
+        labels = clustering.density_labels(matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-10), least, reach)
+        noise = labels < 0
+        labels[noise] = labels.max() + 1 + np.arange(noise.sum())
+        want |= {(bucket, i): (label, lone) for i, label, lone in zip(ids, labels.tolist(), noise.tolist(), strict=True)}
+    assert got == want and len({n for _, n in got.values()}) == 2
+
+
 def test_model_calls_fall_back(spark):
     prompts = spark.createDataFrame([(0, "good"), (1, "bad")], "batch_id long, prompt string")
 
