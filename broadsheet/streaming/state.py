@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,19 +51,37 @@ def changes(stream: DataFrame, key: Column, value_hash: Column, ts: str, keep_ms
         if state.hasTimedOut:
             state.remove()
             return
-        last, first = state.get if state.exists else (None, None)
-        out = []
+        known = state.exists
+        last, first = state.get if known else (None, None)
+        # Arrow cuts a key's rows into frames that are in no order: all are sorted together, as times and small numbers of hashes
+        numbers: dict = {}
+        times_, held = [], []
         for frame in frames:
-            for row in frame.sort_values(["ts", "hash"]).itertuples():
-                status = "new" if last is None else "seen_again" if last == row.hash else "changed"
-                first = row.ts.to_pydatetime() if first is None else first
-                out.append((group[0], row.hash, last or "", first, row.ts, status))
-                last = row.hash
-        state.update((last, first))
+            times_.append(frame["ts"].to_numpy())
+            held.append(np.fromiter((numbers.setdefault(None if pd.isna(h) else h, len(numbers)) for h in frame["hash"]), np.int64, len(frame)))
+        texts = [*sorted(h for h in numbers if h is not None), None]  # no hash comes last
+        rank = {h: n for n, h in enumerate(texts)}
+        codes, seen = np.array([rank[h] for h in numbers])[np.concatenate(held)], np.concatenate(times_)
+        order = np.lexsort((codes, seen))
+        codes, seen = codes[order], seen[order]
+        hashes = np.array(texts, object)[codes]
+        # an empty text stands for no earlier hash: columns of nulls only make frames of other types
+        previous = np.array([*texts[:-1], ""], object)[np.roll(codes, 1)]
+        previous[0] = last or ""
+        changed = (np.roll(codes, 1) != codes) & (np.roll(codes, 1) < len(texts) - 1) & (codes < len(texts) - 1)
+        changed[0] = last is not None and hashes[0] is not None and last != hashes[0]
+        status = np.where(changed, "changed", "seen_again").astype(object)
+        if not known:
+            status[0] = "new"
+        if first is None and not np.isnat(seen[0]):
+            first = pd.Timestamp(seen[0]).to_pydatetime()
+        state.update((hashes[-1], first))
         if keep_ms is not None:
             state.setTimeoutDuration(keep_ms)
-        # an empty text stands for no earlier hash: columns of nulls only make frames of other types
-        yield pd.DataFrame(out, columns=["key", "hash", "previous_hash", "first_seen", "last_seen", "status"])
+        begun = np.datetime64("NaT" if first is None else first, "ns")
+        for start in range(0, len(seen), 10_000):
+            part = slice(start, start + 10_000)
+            yield pd.DataFrame({"key": group[0], "hash": hashes[part], "previous_hash": previous[part], "first_seen": begun, "last_seen": seen[part], "status": status[part]})
 
     rows = stream.select(key.alias("key"), value_hash.alias("hash"), F.col(ts).cast("timestamp").alias("ts"))
     return rows.groupBy("key").applyInPandasWithState(step, _CHANGE_OUT, "hash string, first_seen timestamp", "append", GroupStateTimeout.NoTimeout if keep_ms is None else GroupStateTimeout.ProcessingTimeTimeout)

@@ -2,8 +2,10 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from broadsheet.plans import table_queries
 from broadsheet.sources import readers
 from broadsheet.streaming import state
 
@@ -61,3 +63,25 @@ def test_streams_of_failures_and_undated_rows(spark, tmp_path):
     state.failure_streaks(dated, "host", "failed", "ts").writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(batch).trigger(availableNow=True).start().awaitTermination()
     assert sorted(got) == [("a", 2), ("b", 0), ("c", 0)]
     assert sorted(merged) == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("rows_a_frame", [10_000, 3])
+def test_changes_sort_a_history_that_arrow_cuts(spark, tmp_path, rows_a_frame):
+    # times go down in the file, so that a later frame holds the earlier rows; a key, a time and a hash are missing
+    rows = [("k", f"{i // 2 % 3}", i) for i in range(40, 0, -1)] + [(None, "a", 2), (None, "b", 1), ("n", None, 2), ("n", "a", 1), ("n", "a", None), ("o", None, 1)]
+    data = spark.createDataFrame(rows, "key string, hash string, s long").select("key", "hash", F.timestamp_seconds("s").alias("ts"))
+    data.coalesce(1).write.parquet(f"{tmp_path}/in")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_frame)
+    try:
+        stream = spark.readStream.schema(data.schema).parquet(f"{tmp_path}/in")
+        got = table_queries._drained(state.changes(stream, F.col("key"), F.col("hash"), "ts", None)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(rows)
+    k = sorted((r for r in got if r.key == "k"), key=lambda r: r.last_seen)
+    assert [r.hash for r in k] == [f"{i // 2 % 3}" for i in range(1, 41)]
+    assert [r.previous_hash for r in k] == [""] + [f"{i // 2 % 3}" for i in range(1, 40)]
+    assert [r.status for r in k] == ["new"] + ["seen_again" if i // 2 == (i - 1) // 2 else "changed" for i in range(2, 41)]
+    assert {r.first_seen for r in k} == {k[0].last_seen}
+    assert sorted(r.status for r in got if r.key is None) == ["changed", "new"]
+    assert sorted(r.status for r in got if r.key == "n") == ["new", "seen_again", "seen_again"] and [r.status for r in got if r.key == "o"] == ["new"]
