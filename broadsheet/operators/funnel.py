@@ -66,6 +66,7 @@ def funnel(candidates: DataFrame, probes: DataFrame | None = None) -> DataFrame:
 
     Probe columns are http_status, response_time_ms, error_type, n_articles, first_title and first_summary, of the
     candidates themselves or of a table joined by endpoint. A stage after a rejection stays null and the score 0.
+    points is the same sum as the score before that is held within 0 and 100; all there is to win makes 105.
     """
     rows = candidates if probes is None else candidates.join(probes, "endpoint", "left")
     l0 = F.when(F.col("l0_reason") == "structural_valid", PASS).otherwise(REJECT)
@@ -83,7 +84,9 @@ def funnel(candidates: DataFrame, probes: DataFrame | None = None) -> DataFrame:
         + F.when(F.col("_l3.topic_hits") >= 3, 25).otherwise(0)
         - F.floor(F.col("_l3.spam_score") * 20)
     )
-    return staged.withColumns({"l3": F.col("_l3.status"), "spam_score": F.col("_l3.spam_score"), "decision": decision, "score": F.when(F.col("_l3").isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(100), score))).cast("int")}).drop("_l3")
+    staged = staged.withColumn("points", F.when(F.col("_l3").isNull(), 0).otherwise(score).cast("int"))
+    bounded = F.greatest(F.lit(0), F.least(F.lit(100), F.col("points")))
+    return staged.withColumns({"l3": F.col("_l3.status"), "spam_score": F.col("_l3.spam_score"), "decision": decision, "score": bounded}).drop("_l3")
 
 
 def as_sources(decided: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.plans import table_queries
+from broadsheet.operators import funnel
+from broadsheet.plans import catalog, table_queries
 from broadsheet.sources import readers
 from broadsheet.streaming import state
+from tests.oracle import connected, same
 
 
 def landed(path, rows):
@@ -85,3 +87,24 @@ def test_changes_sort_a_history_that_arrow_cuts(spark, tmp_path, rows_a_frame):
     assert {r.first_seen for r in k} == {k[0].last_seen}
     assert sorted(r.status for r in got if r.key is None) == ["changed", "new"]
     assert sorted(r.status for r in got if r.key == "n") == ["new", "seen_again", "seen_again"] and [r.status for r in got if r.key == "o"] == ["new"]
+
+
+def all_there_is_to_win(path):
+    """Pages of which some get every point: no bound of the operator's may show where the SQL has none."""
+    text = "AI, LLM, agent, model and training. " * 20
+    connected().sql(f"SELECT i AS page_id, 'https://a.example.com/' || i AS url, '<p>{text}</p>' AS html FROM range(2000) t(i)").write_parquet(f"{path}/pages.parquet")
+    return str(path)
+
+
+def test_funnel_score_equals_its_sql_above_100(spark, tmp_path):
+    sf = all_there_is_to_win(tmp_path)
+    scored = catalog.QUERIES["funnel_score"](spark, sf)
+    assert scored.where("score = 105").count() > 0
+    same(spark, catalog.QUERIES["funnel_score"], catalog.ORACLE_SQL["funnel_score"], sf)
+
+
+def test_funnel_itself_ends_at_100(spark):
+    row = ("https://a.example.com/x", "rss", 200, 10, None, 5, "t", "AI, LLM, agent, model and training. " * 20)
+    kinds = "endpoint string, connector string, http_status int, response_time_ms int, error_type string, n_articles int, first_title string, first_summary string"
+    got = funnel.funnel(spark.createDataFrame([row], kinds)).first()
+    assert (got.points, got.score, got.decision) == (105, 100, "pass")
