@@ -108,3 +108,10 @@ def test_funnel_itself_ends_at_100(spark):
     kinds = "endpoint string, connector string, http_status int, response_time_ms int, error_type string, n_articles int, first_title string, first_summary string"
     got = funnel.funnel(spark.createDataFrame([row], kinds)).first()
     assert (got.points, got.score, got.decision) == (105, 100, "pass")
+
+
+def test_passed_sources_equal_their_sql_above_100(spark, tmp_path):
+    sf = all_there_is_to_win(tmp_path)
+    passed = catalog.QUERIES["passed_sources"](spark, sf)
+    assert passed.where("eval_score = 105 AND weight = 10").count() > 0
+    same(spark, catalog.QUERIES["passed_sources"], catalog.ORACLE_SQL["passed_sources"], sf)
