@@ -115,3 +115,32 @@ def test_passed_sources_equal_their_sql_above_100(spark, tmp_path):
     passed = catalog.QUERIES["passed_sources"](spark, sf)
     assert passed.where("eval_score = 105 AND weight = 10").count() > 0
     same(spark, catalog.QUERIES["passed_sources"], catalog.ORACLE_SQL["passed_sources"], sf)
+
+
+def test_passed_sources_strip_a_page_once(spark, tmp_path):
+    # a filter below the stages held 176 copies of the two patterns
+    passed = catalog.QUERIES["passed_sources"](spark, all_there_is_to_win(tmp_path))
+    spark.conf.set("spark.sql.maxPlanStringLength", 10_000_000)
+    try:
+        assert passed._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 2
+    finally:
+        spark.conf.unset("spark.sql.maxPlanStringLength")
+
+
+def odd_pages(path):
+    """Every odd page by every odd address, each with 200 ids, so that all remainders the SQL asks for come up."""
+    topic, filler = "AI, LLM, agent, model and training. ", "word " * 120
+    htmls = [None, "", "<p></p>", "<p> \t</p>", "<p> </p>", topic, topic + filler, topic + "Subscribe now, click here, buy now. " + filler, topic + "http://a.b " * 60, "İnference, sİmulation, dİffusion " + filler, "<" + topic + filler, "\U0001f600" * 700]
+    hosts = ["a.example.com", "amazon.com", "x.amazon.com", "buzzfeed.com", "www.buzzfeed.com", "calendly.com", "x.cloudflare.com", "user:pw@a.example.com", "user@a.example.com", "[::ffff:1.2.3.4]", "localhost", "a.example.com:80"]
+    urls = [None, "", " ", " https://a.example.com/", "HTTPS://A.Example.com/x", "https:a.example.com", "git+ssh://a.example.com/", "https://a.example.com/#f\nx", *(f"https://{h}/x" for h in hosts)]
+    cases = [(u, h) for u in urls for h in htmls]
+    con = connected()
+    con.execute("CREATE TABLE cases (k BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO cases VALUES (?, ?, ?)", [(k, *c) for k, c in enumerate(cases)])
+    con.sql("SELECT k * 200 + i AS page_id, url, html FROM cases, range(200) t(i) UNION ALL SELECT NULL, url, html FROM cases").write_parquet(f"{path}/pages.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("name", ["funnel_score", "passed_sources"])
+def test_scores_of_odd_pages_equal_their_sql(spark, tmp_path, name):
+    same(spark, catalog.QUERIES[name], catalog.ORACLE_SQL[name], odd_pages(tmp_path))
